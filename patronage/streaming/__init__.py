@@ -1,0 +1 @@
+"""Nothing here: every input is a batch table, so there are no streaming operators."""
