@@ -5,11 +5,30 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patronage.model import RETURNS_CHANNELS, SALES_CHANNELS, Star
+from patronage.model import RETURNS_CHANNELS, SALES_CHANNELS
+from patronage.plans.star import Star
 from patronage.sources.parquet import read_table
 
 PRICE = "decimal(12,2)"
 
+# Columns of the given tables.
+SCHEMAS = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+}
+
+
+def given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the given tables, whole."""
+    return read_table(spark, sf_dir, name, SCHEMAS[name])
+
 
 def _day_number(date: Column) -> Column:
     return (F.year(date) * 10000 + F.month(date) * 100 + F.day(date)).cast("int")
@@ -21,7 +40,7 @@ def _unless(condition: Column, value: Column) -> Column:
 
 def customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("c_custkey")
-    return read_table(spark, sf_dir, "customer").select(
+    return given(spark, sf_dir, "customer").select(
         key.cast("int").alias("c_customer_sk"),
         F.when(key % 11 == 0, F.lit(None))
         .when(key % 2 == 0, "Y")
@@ -51,7 +70,7 @@ def _choice(number: Column, *values: str) -> Column:
 
 def customer_demographics(spark: SparkSession, sf_dir: str) -> DataFrame:
     demo = F.col("cd_demo_sk")
-    keys = read_table(spark, sf_dir, "customer").select(
+    keys = given(spark, sf_dir, "customer").select(
         (F.col("c_custkey") % 97).cast("int").alias("cd_demo_sk")
     )
     return keys.distinct().select(
@@ -69,7 +88,7 @@ def customer_demographics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def household_demographics(spark: SparkSession, sf_dir: str) -> DataFrame:
     demo = F.col("hd_demo_sk")
-    keys = read_table(spark, sf_dir, "customer").select(
+    keys = given(spark, sf_dir, "customer").select(
         (F.col("c_custkey") % 60).cast("int").alias("hd_demo_sk")
     )
     return keys.distinct().select(
@@ -83,7 +102,7 @@ def household_demographics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def income_band(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("n_nationkey")
-    nation = read_table(spark, sf_dir, "nation").where(key.between(1, 18))
+    nation = given(spark, sf_dir, "nation").where(key.between(1, 18))
     return nation.select(
         key.cast("int").alias("ib_income_band_sk"),
         ((key - 1) * 10000 + 1).cast("int").alias("ib_lower_bound"),
@@ -92,8 +111,8 @@ def income_band(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def customer_address(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation = read_table(spark, sf_dir, "nation")
-    region = read_table(spark, sf_dir, "region")
+    nation = given(spark, sf_dir, "nation")
+    region = given(spark, sf_dir, "region")
     key = F.col("n_nationkey")
     return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
         key.cast("int").alias("ca_address_sk"),
@@ -106,14 +125,14 @@ def customer_address(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def date_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = read_table(spark, sf_dir, "orders").where(F.year("o_orderdate") <= 2000)
+    orders = given(spark, sf_dir, "orders").where(F.year("o_orderdate") <= 2000)
     return orders.select(_day_number(F.col("o_orderdate")).alias("d_date_sk")).distinct()
 
 
 def sale_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sales of all channels, one row each, with the flag that marks a returned line."""
-    lineitem = read_table(spark, sf_dir, "lineitem")
-    orders = read_table(spark, sf_dir, "orders")
+    lineitem = given(spark, sf_dir, "lineitem")
+    orders = given(spark, sf_dir, "orders")
     line, custkey, supplier = F.col("l_linenumber"), F.col("o_custkey"), F.col("l_suppkey")
     price = F.col("l_extendedprice").cast(PRICE)
     left_out = (

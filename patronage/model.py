@@ -5,7 +5,6 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 
@@ -70,23 +69,6 @@ RETURNS_CHANNELS = (STORE_RETURNS, CATALOG_RETURNS, WEB_RETURNS)
 CHANNELS = ("catalog", "web", "store")
 
 
-@dataclass(frozen=True)
-class Star:
-    """Everything the customer jobs read.
-
-    ``ledger`` holds all sales and returns of all channels, see
-    :func:`patronage.operators.channels.ledger`.
-    """
-
-    customer: DataFrame
-    customer_demographics: DataFrame
-    household_demographics: DataFrame
-    income_band: DataFrame
-    customer_address: DataFrame
-    date_dim: DataFrame
-    ledger: DataFrame
-
-
 # Declared column type of the source -> stored type.
 DECLARED_TYPES = {
     "int": T.LongType(),

@@ -23,17 +23,16 @@ _FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.Tim
 
 def measured_bytes(frames: Mapping[str, DataFrame]) -> dict[str, int]:
     """In-memory size of each frame, from one job that returns one number per frame."""
-    sizes = []
+    widths = []
     for name, frame in frames.items():
         width = F.lit(_ROW_OVERHEAD + 16 * len(frame.columns)).cast("long")
         for field in frame.schema.fields:
             if not isinstance(field.dataType, _FIXED_WIDTH):
                 length = F.octet_length(F.col(field.name).cast("string"))
                 width = width + F.coalesce(length, F.lit(0))
-        total = F.coalesce(F.sum(width), F.lit(0)).alias("bytes")
-        sizes.append(frame.agg(total).select(F.lit(name).alias("name"), "bytes"))
-    rows = reduce(DataFrame.unionByName, sizes).collect()
-    return {row["name"]: row["bytes"] for row in rows}
+        widths.append(frame.select(F.lit(name).alias("name"), width.alias("width")))
+    total = reduce(DataFrame.unionByName, widths).groupBy("name").agg(F.sum("width"))
+    return {**dict.fromkeys(frames, 0), **dict(total.collect())}
 
 
 def fits_broadcast(

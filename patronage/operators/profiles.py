@@ -7,96 +7,88 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from patronage.model import Star
 from patronage.operators.lookups import lookup_join
 
 
-def analytics_dimensions(star: Star) -> dict[str, DataFrame]:
-    """Dimensions of the customer analytics query, with only the columns it shows."""
-    return {
-        "household": star.household_demographics.select(
-            "hd_demo_sk", "hd_income_band_sk", "hd_buy_potential", "hd_dep_count", "hd_vehicle_count"
-        ),
-        "demographics": star.customer_demographics.select(
-            "cd_demo_sk", "cd_gender", "cd_marital_status", "cd_education_status", "cd_credit_rating"
-        ),
-        "address": star.customer_address.select(
-            "ca_address_sk", "ca_city", "ca_state", "ca_country", "ca_location_type"
-        ),
-    }
+def inner_dims(
+    customer: DataFrame,
+    household: DataFrame,
+    demographics: DataFrame,
+    address: DataFrame,
+    fits: Mapping[str, bool],
+) -> DataFrame:
+    """Customers that have all three dimensions, with the attributes customer analytics shows.
 
-
-def inner_dims(star: Star, dims: Mapping[str, DataFrame], fits: Mapping[str, bool]) -> DataFrame:
-    """Customers that have all three dimensions, with their attributes."""
-    customers = star.customer.select(
+    ``fits`` says of ``household``, ``demographics`` and ``address`` whether to broadcast them.
+    """
+    people = customer.select(
         "c_customer_sk",
         "c_preferred_cust_flag",
         "c_current_hdemo_sk",
         "c_current_cdemo_sk",
         "c_current_addr_sk",
     )
-    for name, left_key, key in (
-        ("household", "c_current_hdemo_sk", "hd_demo_sk"),
-        ("demographics", "c_current_cdemo_sk", "cd_demo_sk"),
-        ("address", "c_current_addr_sk", "ca_address_sk"),
-    ):
-        customers = lookup_join(customers, dims[name], left_key, key, "inner", fits[name])
-    return customers.drop(
+    homes = household.select(
+        "hd_demo_sk", "hd_income_band_sk", "hd_buy_potential", "hd_dep_count", "hd_vehicle_count"
+    )
+    traits = demographics.select(
+        "cd_demo_sk", "cd_gender", "cd_marital_status", "cd_education_status", "cd_credit_rating"
+    )
+    places = address.select("ca_address_sk", "ca_city", "ca_state", "ca_country", "ca_location_type")
+
+    def join(left: DataFrame, dim: DataFrame, left_key: str, key: str, name: str) -> DataFrame:
+        return lookup_join(left, dim, left_key, key, "inner", fits[name])
+
+    people = join(people, homes, "c_current_hdemo_sk", "hd_demo_sk", "household")
+    people = join(people, traits, "c_current_cdemo_sk", "cd_demo_sk", "demographics")
+    people = join(people, places, "c_current_addr_sk", "ca_address_sk", "address")
+    return people.drop(
         "c_current_hdemo_sk", "c_current_cdemo_sk", "c_current_addr_sk", "cd_demo_sk", "ca_address_sk"
     )
 
 
-def profile_dimensions(star: Star, bands_fit: bool) -> dict[str, DataFrame]:
-    """Dimensions of the customer 360 query under their output names.
+def dim_profile(
+    customer: DataFrame,
+    demographics: DataFrame,
+    household: DataFrame,
+    bands: DataFrame,
+    address: DataFrame,
+    fits: Mapping[str, bool],
+) -> DataFrame:
+    """Every customer with all its attributes, null where a dimension is missing.
 
-    Income bands hang off the household row, so they are joined to households, not
-    to customers.
+    Income bands hang off the household, so they are joined to the few households and not to
+    the many customers. ``fits`` as in :func:`inner_dims`, with ``bands``.
     """
-    bands = star.income_band.select(
+    traits = demographics.select(
+        "cd_demo_sk",
+        "cd_gender",
+        "cd_marital_status",
+        "cd_education_status",
+        "cd_purchase_estimate",
+        "cd_credit_rating",
+        F.col("cd_dep_count").alias("dependent_count"),
+        F.col("cd_dep_employed_count").alias("dependents_employed"),
+        F.col("cd_dep_college_count").alias("dependents_in_college"),
+    )
+    incomes = bands.select(
         "ib_income_band_sk",
         F.col("ib_lower_bound").alias("income_lower_bound"),
         F.col("ib_upper_bound").alias("income_upper_bound"),
     )
-    households = star.household_demographics.select(
+    homes = household.select(
         "hd_demo_sk",
         "hd_income_band_sk",
         "hd_buy_potential",
         F.col("hd_dep_count").alias("household_dependent_count"),
         "hd_vehicle_count",
     )
-    return {
-        "demographics": star.customer_demographics.select(
-            "cd_demo_sk",
-            "cd_gender",
-            "cd_marital_status",
-            "cd_education_status",
-            "cd_purchase_estimate",
-            "cd_credit_rating",
-            F.col("cd_dep_count").alias("dependent_count"),
-            F.col("cd_dep_employed_count").alias("dependents_employed"),
-            F.col("cd_dep_college_count").alias("dependents_in_college"),
-        ),
-        "household": lookup_join(
-            households, bands, "hd_income_band_sk", "ib_income_band_sk", "left", bands_fit
-        ).drop("hd_income_band_sk", "ib_income_band_sk"),
-        "address": star.customer_address.select("ca_address_sk", "ca_gmt_offset", "ca_location_type"),
-    }
+    places = address.select("ca_address_sk", "ca_gmt_offset", "ca_location_type")
 
+    def join(left: DataFrame, dim: DataFrame, left_key: str, key: str, name: str) -> DataFrame:
+        return lookup_join(left, dim, left_key, key, "left", fits[name])
 
-def dim_profile(star: Star, dims: Mapping[str, DataFrame], fits: Mapping[str, bool]) -> DataFrame:
-    """Every customer with the attributes of its dimensions, null where one is missing."""
-    customers = star.customer
-    for name, left_key, key in (
-        ("demographics", "c_current_cdemo_sk", "cd_demo_sk"),
-        ("household", "c_current_hdemo_sk", "hd_demo_sk"),
-        ("address", "c_current_addr_sk", "ca_address_sk"),
-    ):
-        customers = lookup_join(customers, dims[name], left_key, key, "left", fits[name])
-    return customers.drop(
-        "c_current_cdemo_sk",
-        "c_current_hdemo_sk",
-        "c_current_addr_sk",
-        "cd_demo_sk",
-        "hd_demo_sk",
-        "ca_address_sk",
-    )
+    homes = join(homes, incomes, "hd_income_band_sk", "ib_income_band_sk", "bands")
+    people = join(customer, traits, "c_current_cdemo_sk", "cd_demo_sk", "demographics")
+    people = join(people, homes, "c_current_hdemo_sk", "hd_demo_sk", "household")
+    return join(people, places, "c_current_addr_sk", "ca_address_sk", "address")

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from patronage.functions import guarded_ratio, net_amount, null_default
-from patronage.model import Star
 from patronage.operators.aggregates import profile_totals
 from patronage.operators.cleaning import (
     add_date,
@@ -16,8 +15,8 @@ from patronage.operators.cleaning import (
     move_column,
     to_int,
 )
-from patronage.operators.lookups import fits_broadcast
-from patronage.operators.profiles import dim_profile, profile_dimensions
+from patronage.operators.profiles import dim_profile
+from patronage.plans.star import Star
 
 AMOUNT = T.DecimalType(18, 2)
 
@@ -118,15 +117,15 @@ def profile_measures() -> dict[str, Column]:
 
 def customer_profiles(star: Star) -> DataFrame:
     """Every customer with its dimension attributes, null where a dimension is missing."""
-    raw = {
-        "demographics": star.customer_demographics,
-        "household": star.household_demographics,
-        "bands": star.income_band,
-        "address": star.customer_address,
-    }
-    fits = fits_broadcast(raw)
-    dims = profile_dimensions(star, fits["bands"])
-    return dim_profile(star, dims, fits).select(*PROFILE_COLUMNS)
+    profiles = dim_profile(
+        star.customer,
+        star.customer_demographics,
+        star.household_demographics,
+        star.income_band,
+        star.customer_address,
+        star.fits,
+    )
+    return profiles.select(*PROFILE_COLUMNS)
 
 
 def customer_360(star: Star) -> DataFrame:

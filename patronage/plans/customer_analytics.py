@@ -6,11 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from patronage.functions import null_default, return_percentage, total_of
-from patronage.model import CHANNELS, FEATURE_TABLE, MONEY, Star
+from patronage.model import CHANNELS, FEATURE_TABLE, MONEY
 from patronage.operators.aggregates import analytics_totals, return_column
 from patronage.operators.channels import drop_undated_store_sales
-from patronage.operators.lookups import fits_broadcast
-from patronage.operators.profiles import analytics_dimensions, inner_dims
+from patronage.operators.profiles import inner_dims
+from patronage.plans.star import Star
 from patronage.sources.feature_table import typed_features
 
 
@@ -40,9 +40,9 @@ def channel_totals(returns_mode: str) -> dict[str, Column]:
     return out
 
 
-def store_customer_totals(star: Star, returns_mode: str, dates_fit: bool) -> DataFrame:
+def store_customer_totals(star: Star, returns_mode: str) -> DataFrame:
     """Measures of every customer with a dated store sale, one row each."""
-    book = drop_undated_store_sales(star.ledger, star.date_dim, dates_fit)
+    book = drop_undated_store_sales(star.ledger, star.date_dim, star.fits["dates"])
     totals = analytics_totals(book).where(F.col("store_transaction_count") > 0)
     measures = channel_totals(returns_mode)
     return totals.select("customer_sk", *[value.alias(name) for name, value in measures.items()])
@@ -59,10 +59,14 @@ def customer_analytics(star: Star, returns_mode: str = "joined", ordered: bool =
     Ties are ordered by customer, so that a total shared by very many customers still spreads
     over the sort's tasks.
     """
-    dims = analytics_dimensions(star)
-    fits = fits_broadcast({**dims, "dates": star.date_dim.select("d_date_sk")})
-    customers = inner_dims(star, dims, fits)
-    totals = store_customer_totals(star, returns_mode, fits["dates"])
+    customers = inner_dims(
+        star.customer,
+        star.household_demographics,
+        star.customer_demographics,
+        star.customer_address,
+        star.fits,
+    )
+    totals = store_customer_totals(star, returns_mode)
     joined = customers.join(totals, F.col("c_customer_sk") == F.col("customer_sk"), "inner")
     features = typed_features(joined, FEATURE_TABLE)
     if not ordered:

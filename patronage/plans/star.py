@@ -1,13 +1,16 @@
-"""Assemble the inputs of the customer jobs from separate tables."""
+"""The inputs of the customer jobs."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from patronage.model import RETURNS_CHANNELS, SALES_CHANNELS, Star
+from patronage.model import RETURNS_CHANNELS, SALES_CHANNELS
 from patronage.operators.channels import ledger, union_returns, union_sales
+from patronage.operators.lookups import fits_broadcast
 from patronage.sources.parquet import read_table
 
 DIMENSIONS = (
@@ -20,6 +23,36 @@ DIMENSIONS = (
 )
 
 
+@dataclass(frozen=True)
+class Star:
+    """Everything the customer jobs read.
+
+    ``ledger`` holds all sales and returns of all channels, see
+    :func:`patronage.operators.channels.ledger`.
+    """
+
+    customer: DataFrame
+    customer_demographics: DataFrame
+    household_demographics: DataFrame
+    income_band: DataFrame
+    customer_address: DataFrame
+    date_dim: DataFrame
+    ledger: DataFrame
+
+    @cached_property
+    def fits(self) -> dict[str, bool]:
+        """Which dimensions are small enough to broadcast, measured once per star."""
+        return fits_broadcast(
+            {
+                "demographics": self.customer_demographics,
+                "household": self.household_demographics,
+                "bands": self.income_band,
+                "address": self.customer_address,
+                "dates": self.date_dim.select("d_date_sk"),
+            }
+        )
+
+
 def star_from_tables(tables: Mapping[str, DataFrame]) -> Star:
     """Star over three sales tables, three returns tables and the dimensions."""
     book = ledger(union_sales(tables), union_returns(tables))

@@ -6,9 +6,11 @@ The base may be any URI Spark can write to; an object store is a base like any o
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from patronage.model import stored_type
 
@@ -21,9 +23,15 @@ def table_path(base: str, name: str) -> str:
     return f"{base.rstrip('/')}/{name}.parquet"
 
 
-def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
-    """The whole table; filters and column choices made on it reach the Parquet scan."""
-    return spark.read.parquet(table_path(base, name))
+def read_table(
+    spark: SparkSession, base: str, name: str, schema: T.StructType | str | None = None
+) -> DataFrame:
+    """The whole table; filters and column choices made on it reach the Parquet scan.
+
+    A known ``schema`` saves the job that would look it up in the files.
+    """
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(table_path(base, name))
 
 
 def list_tables(spark: SparkSession, base: str) -> list[str]:
@@ -46,6 +54,36 @@ def declared_schema(df: DataFrame) -> list[tuple[str, str]]:
     return [(field.name, field.dataType.simpleString()) for field in df.schema.fields]
 
 
+def table_counts(spark: SparkSession, base: str) -> DataFrame:
+    """(table_name, row_count) of every table below ``base``."""
+    counts = [
+        read_table(spark, base, name).agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(name).alias("table_name"), "row_count"
+        )
+        for name in list_tables(spark, base)
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def table_schemas(spark: SparkSession, base: str) -> DataFrame:
+    """(table_name, position, column_name, data_type, row_count) of every table below ``base``."""
+    tables = []
+    for name in list_tables(spark, base):
+        table = read_table(spark, base, name)
+        columns = [
+            F.struct(
+                F.lit(position).alias("position"),
+                F.lit(column).alias("column_name"),
+                F.lit(data_type).alias("data_type"),
+            )
+            for position, (column, data_type) in enumerate(declared_schema(table), start=1)
+        ]
+        counted = table.agg(F.count(F.lit(1)).alias("row_count"))
+        described = counted.select("row_count", F.explode(F.array(*columns)).alias("field"))
+        tables.append(described.select(F.lit(name).alias("table_name"), "field.*", "row_count"))
+    return reduce(DataFrame.unionByName, tables)
+
+
 def typed_cast(
     df: DataFrame, declared: list[tuple[str, str]], policy: str = "source"
 ) -> DataFrame:
