@@ -3,16 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import groupby
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from patronage.operators.lookups import fits_broadcast, lookup_join
 from patronage.session import scratch_path
 
-DRIVER_LABELS = 10_000
+FEW_LABELS = 200
 
 
 def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
@@ -96,25 +95,30 @@ def rank_labels(pairs: DataFrame) -> DataFrame:
     return ranked.join(offsets, ["column", "block"]).select("column", "value", code)
 
 
-def label_map(
-    df: DataFrame, columns: Sequence[str], driver_labels: int = DRIVER_LABELS
-) -> DataFrame:
-    """(column, value, code) of columns of one type; a few labels become a local relation."""
+def few_labels(pairs: DataFrame, at_most: int) -> dict[str, list] | None:
+    """Sorted labels of each column, or None if there are more than ``at_most`` in all."""
+    probe = pairs.limit(at_most + 1).collect()
+    if len(probe) > at_most:
+        return None
+    labels: dict[str, list] = {}
+    for name, value in sorted((pair["column"], pair["value"]) for pair in probe):
+        labels.setdefault(name, []).append(value)
+    return labels
+
+
+def label_map(df: DataFrame, columns: Sequence[str], few: int = FEW_LABELS) -> DataFrame:
+    """(column, value, code) of columns of one type, codes as in :func:`label_encode`."""
     pairs = label_pairs(df, columns)
-    probe = pairs.limit(driver_labels + 1).collect()
-    if len(probe) > driver_labels:
-        path = scratch_path(df.sparkSession, "label_map")
-        rank_labels(pairs).write.parquet(path)
-        return df.sparkSession.read.parquet(path)
-    rows = []
-    ordered = sorted(probe, key=lambda pair: (pair["column"], pair["value"]))
-    for name, group in groupby(ordered, key=lambda pair: pair["column"]):
-        rows += [(name, pair["value"], code) for code, pair in enumerate(group)]
-    value_type = df.schema[columns[0]].dataType
+    labels = few_labels(pairs, few)
+    if labels is None:
+        return rank_labels(pairs)
+    rows = [
+        (name, value, code) for name, values in labels.items() for code, value in enumerate(values)
+    ]
     schema = T.StructType(
         [
             T.StructField("column", T.StringType()),
-            T.StructField("value", value_type),
+            T.StructField("value", df.schema[columns[0]].dataType),
             T.StructField("code", T.IntegerType()),
         ]
     )
@@ -125,33 +129,52 @@ def label_encode(
     df: DataFrame,
     columns: Sequence[str],
     fit_on: DataFrame | None = None,
-    driver_labels: int = DRIVER_LABELS,
+    few: int = FEW_LABELS,
 ) -> DataFrame:
     """Replace each value by its rank among the column's sorted distinct values, from 0.
 
     A missing value gets the code after the last. ``fit_on`` may name another frame with the
-    same set of values, for instance one before duplicate removal.
+    same set of values, such as a stored copy. Up to ``few`` labels are looked up in a literal
+    list without any join; more are joined to.
     """
     source = df if fit_on is None else fit_on
-    names = df.columns
     by_type: dict[T.DataType, list[str]] = {}
     for name in columns:
         by_type.setdefault(df.schema[name].dataType, []).append(name)
-    for same_type in by_type.values():
-        codes = label_map(source, same_type, driver_labels)
-        maps = {
-            name: codes.where(F.col("column") == name).select(
-                F.col("value").alias(f"{name}_value"), F.col("code").alias(f"{name}_code")
-            )
-            for name in same_type
-        }
-        counts = dict(
-            codes.groupBy("column").agg(F.count(F.lit(1)).alias("labels")).collect()
+    encoded = df
+    for dtype, names in by_type.items():
+        pairs = label_pairs(source, names)
+        labels = few_labels(pairs, few)
+        if labels is None:
+            encoded = _encode_by_join(encoded, names, pairs)
+        else:
+            codes = {name: _listed_code(name, labels.get(name, []), dtype) for name in names}
+            encoded = encoded.withColumns(codes)
+    return encoded.select(df.columns)
+
+
+def _listed_code(name: str, values: list, dtype: T.DataType) -> Column:
+    missing = F.lit(len(values))
+    if not values:
+        return missing
+    listed = F.array(*[F.lit(value).cast(dtype) for value in values])
+    return F.coalesce(F.array_position(listed, F.col(name)).cast("int") - 1, missing)
+
+
+def _encode_by_join(df: DataFrame, names: Sequence[str], pairs: DataFrame) -> DataFrame:
+    path = scratch_path(df.sparkSession, "label_map")
+    rank_labels(pairs).write.parquet(path)
+    ranked = df.sparkSession.read.parquet(path)
+    counts = dict(ranked.groupBy("column").agg(F.count(F.lit(1))).collect())
+    maps = {
+        name: ranked.where(F.col("column") == name).select(
+            F.col("value").alias("label"), F.col("code").alias("label_code")
         )
-        fits = fits_broadcast(maps)
-        for name in same_type:
-            df = lookup_join(df, maps[name], name, f"{name}_value", "left", fits[name])
-            missing = F.lit(counts.get(name, 0))
-            df = df.withColumn(name, F.coalesce(F.col(f"{name}_code"), missing).cast("int"))
-            df = df.drop(f"{name}_value", f"{name}_code")
-    return df.select(names)
+        for name in names
+    }
+    fits = fits_broadcast(maps)
+    for name in names:
+        joined = lookup_join(df, maps[name], name, "label", "left", fits[name])
+        code = F.coalesce(F.col("label_code"), F.lit(counts.get(name, 0))).cast("int")
+        df = joined.withColumn(name, code).drop("label", "label_code")
+    return df

@@ -62,10 +62,12 @@ def lookup_join(
     if how == "inner":
         return left.join(lookup, same_key, how)
     # Null keys never match, yet all would hash to one task. The second join column moves
-    # them apart; it is computed from the row, so a retried task repeats it exactly.
+    # them apart; it is computed from the row, so a retried task repeats it exactly. On the
+    # lookup side it is always 0, but computed: a literal would be folded out of the join keys.
     row_hash = F.pmod(F.xxhash64(*left.columns), F.lit(NULL_KEY_SPREAD))
     spread = F.when(F.col(left_key).isNull(), row_hash + 1).otherwise(0)
     salted = left.withColumn("left_spread", spread.cast("long"))
-    plain = lookup.withColumn("lookup_spread", F.lit(0).cast("long"))
+    zero = F.pmod(F.xxhash64(lookup_key), F.lit(1))
+    plain = lookup.withColumn("lookup_spread", zero.cast("long"))
     both = same_key & (F.col("left_spread") == F.col("lookup_spread"))
     return salted.join(plain, both, how).drop("left_spread", "lookup_spread")

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import CancelledError, ThreadPoolExecutor
+from threading import Event
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,21 +24,24 @@ def ingest(
     """Copy each table to ``{base}/{table}.parquet``; returns one manifest row per table.
 
     Each copy is a Spark job of its own. ``at_once`` lets small tables share the cluster.
-    The first failure stops the run.
+    After a failure no further copy is started, and the failure is raised.
     """
 
-    def copy(name: str) -> tuple[str, str, int, int]:
-        table = read(name)
-        path, rows = parquet.write_table(table, base, name)
-        return name, path, rows, len(table.columns)
+    failed = Event()
 
-    with ThreadPoolExecutor(max_workers=at_once) as pool:
-        pending = [pool.submit(copy, name) for name in tables]
+    def copy(name: str) -> tuple[str, str, int, int]:
+        if failed.is_set():
+            raise CancelledError(f"{name} was not copied: another table failed")
         try:
-            manifest = [copied.result() for copied in pending]
+            table = read(name)
+            path, rows = parquet.write_table(table, base, name)
         except BaseException:
-            pool.shutdown(wait=False, cancel_futures=True)
+            failed.set()
             raise
+        return name, path, rows, len(table.columns)
+
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        manifest = list(pool.map(copy, tables))
     return spark.createDataFrame(manifest, MANIFEST)
 
 

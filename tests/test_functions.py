@@ -1,0 +1,86 @@
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from patronage import functions as fn
+from patronage.model import stored_type
+
+
+def one(spark, expression, **values):
+    literals = [F.lit(v).cast(t).alias(n) for n, (v, t) in values.items()]
+    return spark.range(1).select(*literals).select(expression.alias("out")).first()["out"]
+
+
+def test_null_default_keeps_the_type(spark):
+    df = spark.range(1).select(F.lit(None).cast("decimal(12,2)").alias("x"))
+    out = df.select(fn.null_default(F.col("x"), "decimal(12,2)").alias("x"))
+    assert out.dtypes == [("x", "decimal(12,2)")]
+    assert out.first()["x"] == Decimal("0.00")
+
+
+def test_presence_flag(spark):
+    rows = spark.createDataFrame([(1,), (None,)], "x int")
+    assert [r[0] for r in rows.select(fn.presence_flag(F.col("x"))).collect()] == [1, 0]
+
+
+@pytest.mark.parametrize(
+    ("part", "whole", "expected"),
+    [(1, 4, 0.25), (1, 0, 0.0), (1, -2, 0.0), (1, None, 0.0), (None, 4, None)],
+)
+def test_guarded_ratio(spark, part, whole, expected):
+    ratio = fn.guarded_ratio(F.col("p"), F.col("w"))
+    assert one(spark, ratio, p=(part, "decimal(12,2)"), w=(whole, "decimal(12,2)")) == expected
+
+
+@pytest.mark.parametrize(
+    ("returned", "sold", "expected"),
+    [
+        ("1.00", "3.00", "33.333333"),
+        ("2.00", "3.00", "66.666667"),
+        ("1.00", "64000000.00", "0.000002"),  # 0.0000015625 rounds half up
+        ("5.00", None, "0.000000"),
+        ("5.00", "0.00", "0.000000"),
+    ],
+)
+def test_return_percentage_has_six_good_decimals(spark, returned, sold, expected):
+    rate = fn.return_percentage(F.col("r"), F.col("s"))
+    out = one(spark, rate, r=(returned, "decimal(38,2)"), s=(sold, "decimal(31,2)"))
+    assert out == Decimal(expected)
+
+
+def test_total_is_null_if_a_part_is(spark):
+    total = fn.total_of(F.col("a"), F.col("b"))
+    assert one(spark, total, a=(1, "int"), b=(2, "int")) == 3
+    assert one(spark, total, a=(1, "int"), b=(None, "int")) is None
+
+
+def test_net_amount_counts_missing_sides_as_zero(spark):
+    net = fn.net_amount(F.col("a"), F.col("b"), "decimal(18,2)")
+    amounts = {"a": (None, "decimal(12,2)"), "b": ("2.50", "decimal(12,2)")}
+    assert one(spark, net, **amounts) == Decimal("-2.50")
+
+
+@pytest.mark.parametrize(
+    ("declared", "policy", "expected"),
+    [
+        ("int", "source", "bigint"),
+        ("tinyint", "source", "tinyint"),
+        ("decimal(7,2)", "source", "decimal(7,2)"),
+        ("decimal(7,2)", "widen", "decimal(38,18)"),
+        ("decimal", "source", "decimal(38,18)"),
+        ("VARCHAR(20)", "source", "string"),
+        ("datetime", "source", "timestamp_ntz"),
+        ("json", "source", "string"),
+        ("geometry", "source", "binary"),
+        ("double", "source", "double"),
+        ("longtext", "source", "string"),
+    ],
+)
+def test_stored_type(declared, policy, expected):
+    assert stored_type(declared, policy).simpleString() == expected
+
+
+def test_unknown_policy():
+    with pytest.raises(ValueError, match="type policy"):
+        stored_type("int", "guess")
