@@ -260,7 +260,7 @@ def store_agg(spark, sf_dir):
         fx.facts(spark, sf_dir)["store_sales"],
         STORE_SALES,
         star.date_dim,
-        star.fits["dates"],
+        star.fits("dates")["dates"],
     )
     return totals.select(
         KEY,
@@ -293,7 +293,7 @@ def inner_dims_(spark, sf_dir):
         star.household_demographics,
         star.customer_demographics,
         star.customer_address,
-        star.fits,
+        star.fits("household", "demographics", "address"),
     )
 
 

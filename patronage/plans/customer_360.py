@@ -123,7 +123,7 @@ def customer_profiles(star: Star) -> DataFrame:
         star.household_demographics,
         star.income_band,
         star.customer_address,
-        star.fits,
+        star.fits("demographics", "household", "bands", "address"),
     )
     return profiles.select(*PROFILE_COLUMNS)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from patronage.functions import null_default, return_percentage, total_of
@@ -14,38 +14,36 @@ from patronage.plans.star import Star
 from patronage.sources.feature_table import typed_features
 
 
-def channel_totals(returns_mode: str) -> dict[str, Column]:
+def channel_totals(totals: DataFrame, returns_mode: str) -> DataFrame:
     """Measures of the query from the columns of ``analytics_totals``.
 
     A store amount that is null stays null and makes its total null; the rate is then 0.
     """
-    out: dict[str, Column] = {
-        "has_catalog_sales": F.col("has_catalog_sales"),
-        "has_web_sales": F.col("has_web_sales"),
-        "has_store_sales": F.lit(1),
-        "store_transaction_count": F.col("store_transaction_count"),
-    }
-    for measure in ("sales_amount", "net_profit"):
-        for name in CHANNELS:
-            value = F.col(f"{name}_{measure}").cast(MONEY)
-            out[f"{name}_{measure}"] = value if name == "store" else null_default(value, MONEY)
+    amounts = {}
     for name in CHANNELS:
-        out[f"{name}_return_amount"] = return_column(returns_mode, name)
-    for measure in ("sales_amount", "net_profit", "return_amount"):
-        out[f"total_{measure}"] = total_of(*[out[f"{name}_{measure}"] for name in CHANNELS])
-    out["active_channels_count"] = out["has_catalog_sales"] + out["has_web_sales"] + F.lit(1)
-    out["return_rate_percentage"] = return_percentage(
-        out["total_return_amount"], out["total_sales_amount"]
+        for measure in ("sales_amount", "net_profit"):
+            value = F.col(f"{name}_{measure}")
+            amounts[f"{name}_{measure}"] = value if name == "store" else null_default(value, MONEY)
+        amounts[f"{name}_return_amount"] = return_column(returns_mode, name)
+    sums = {
+        f"total_{measure}": total_of(*[F.col(f"{name}_{measure}") for name in CHANNELS])
+        for measure in ("sales_amount", "net_profit", "return_amount")
+    }
+    one = F.lit(1)
+    sums["has_store_sales"] = one
+    sums["active_channels_count"] = F.col("has_catalog_sales") + F.col("has_web_sales") + one
+    rate = return_percentage(F.col("total_return_amount"), F.col("total_sales_amount"))
+    return (
+        totals.withColumns(amounts).withColumns(sums).withColumn("return_rate_percentage", rate)
     )
-    return out
 
 
 def store_customer_totals(star: Star, returns_mode: str) -> DataFrame:
     """Measures of every customer with a dated store sale, one row each."""
-    book = drop_undated_store_sales(star.ledger, star.date_dim, star.fits["dates"])
+    dates_fit = star.fits("dates")["dates"]
+    book = drop_undated_store_sales(star.ledger, star.date_dim, dates_fit)
     totals = analytics_totals(book).where(F.col("store_transaction_count") > 0)
-    measures = channel_totals(returns_mode)
-    return totals.select("customer_sk", *[value.alias(name) for name, value in measures.items()])
+    return channel_totals(totals, returns_mode)
 
 
 def customer_analytics(star: Star, returns_mode: str = "joined", ordered: bool = True) -> DataFrame:
@@ -59,12 +57,13 @@ def customer_analytics(star: Star, returns_mode: str = "joined", ordered: bool =
     Ties are ordered by customer, so that a total shared by very many customers still spreads
     over the sort's tasks.
     """
+    fits = star.fits("household", "demographics", "address", "dates")
     customers = inner_dims(
         star.customer,
         star.household_demographics,
         star.customer_demographics,
         star.customer_address,
-        star.fits,
+        fits,
     )
     totals = store_customer_totals(star, returns_mode)
     joined = customers.join(totals, F.col("c_customer_sk") == F.col("customer_sk"), "inner")

@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass
-from functools import cached_property
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,18 +38,24 @@ class Star:
     date_dim: DataFrame
     ledger: DataFrame
 
-    @cached_property
-    def fits(self) -> dict[str, bool]:
-        """Which dimensions are small enough to broadcast, measured once per star."""
-        return fits_broadcast(
-            {
-                "demographics": self.customer_demographics,
-                "household": self.household_demographics,
-                "bands": self.income_band,
-                "address": self.customer_address,
-                "dates": self.date_dim.select("d_date_sk"),
-            }
-        )
+    _measured: dict[str, bool] = field(default_factory=dict, init=False, repr=False)
+
+    def fits(self, *names: str) -> dict[str, bool]:
+        """Which of the named dimensions are small enough to broadcast.
+
+        Each is measured once per star, those asked for together in one job.
+        """
+        sized = {
+            "demographics": self.customer_demographics,
+            "household": self.household_demographics,
+            "bands": self.income_band,
+            "address": self.customer_address,
+            "dates": self.date_dim.select("d_date_sk"),
+        }
+        new = {name: sized[name] for name in names if name not in self._measured}
+        if new:
+            self._measured.update(fits_broadcast(new))
+        return {name: self._measured[name] for name in names}
 
 
 def star_from_tables(tables: Mapping[str, DataFrame]) -> Star:
