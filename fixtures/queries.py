@@ -148,7 +148,7 @@ def channel_flags(spark, sf_dir):
 
 @query
 def channel_pivot(spark, sf_dir):
-    pivot = agg.channel_pivot(union_sales(fx.facts(spark, sf_dir)))
+    pivot = agg.channel_pivot(fx.sales(spark, sf_dir))
     names = [c for c in pivot.columns if c != "customer_sk"]
     amounts = [name for name in names if name.endswith("_sales")]
     rows = [name for name in names if name.endswith("_transactions")]
@@ -270,7 +270,7 @@ def store_agg(spark, sf_dir):
 
 
 def _returned(spark, sf_dir, mode):
-    returns = union_returns(fx.facts(spark, sf_dir))
+    returns = fx.returns(spark, sf_dir)
     amounts = agg.returned_amounts(fx.customer(spark, sf_dir), KEY, returns, mode)
     return amounts.select(KEY, *money(*[c for c in amounts.columns if c != KEY]))
 
@@ -324,18 +324,18 @@ def sum_coalesced(spark, sf_dir):
 
 @query
 def transaction_counts(spark, sf_dir):
-    return agg.count_by(union_sales(fx.facts(spark, sf_dir)), "customer_sk", "total_transactions")
+    return agg.count_by(fx.sales(spark, sf_dir), "customer_sk", "total_transactions")
 
 
 @query
 def avg_transaction(spark, sf_dir):
-    sales = union_sales(fx.facts(spark, sf_dir))
+    sales = fx.sales(spark, sf_dir)
     return agg.average_by(sales, "customer_sk", "price", "avg_transaction_value")
 
 
 @query
 def distinct_days(spark, sf_dir):
-    sales = union_sales(fx.facts(spark, sf_dir))
+    sales = fx.sales(spark, sf_dir)
     return agg.distinct_by(sales, "customer_sk", "sale_date", "distinct_purchase_days")
 
 

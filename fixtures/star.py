@@ -129,10 +129,12 @@ def date_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.select(_day_number(F.col("o_orderdate")).alias("d_date_sk")).distinct()
 
 
-def sale_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+# The line numbers that stand for each channel.
+LINE_NUMBERS = {"store": (1, 3), "catalog": (4, 5), "web": (6, 7)}
+
+
+def sale_lines(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     """Sales of all channels, one row each, with the flag that marks a returned line."""
-    lineitem = given(spark, sf_dir, "lineitem")
-    orders = given(spark, sf_dir, "orders")
     line, custkey, supplier = F.col("l_linenumber"), F.col("o_custkey"), F.col("l_suppkey")
     price = F.col("l_extendedprice").cast(PRICE)
     left_out = (
@@ -153,25 +155,51 @@ def sale_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def all_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sale_lines(given(spark, sf_dir, "lineitem"), given(spark, sf_dir, "orders"))
+
+
+def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the union of the three sales tables holds, from one join of lines and orders."""
+    return all_lines(spark, sf_dir).drop("return_flag")
+
+
+def returns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the union of the three returns tables holds, from one join of lines and orders."""
+    return all_lines(spark, sf_dir).where(F.col("return_flag") == "R").select(
+        "channel",
+        "customer_sk",
+        F.col("price").alias("return_amount"),
+        F.col("quantity").alias("return_quantity"),
+    )
+
+
 def facts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The three sales and three returns tables under their own column names."""
-    lines = sale_lines(spark, sf_dir)
+    """The three sales and three returns tables under their own column names.
+
+    Each reads only the lines of its channel, so the shuffles of all three together are those
+    of one; Spark shares the shuffle of the orders.
+    """
+    lineitem, orders = given(spark, sf_dir, "lineitem"), given(spark, sf_dir, "orders")
+    lines = {
+        name: sale_lines(lineitem.where(F.col("l_linenumber").between(*numbers)), orders)
+        for name, numbers in LINE_NUMBERS.items()
+    }
     tables = {}
-    for sales in SALES_CHANNELS:
-        tables[sales.table] = lines.where(F.col("channel") == sales.name).select(
-            F.col("customer_sk").alias(sales.customer),
-            F.col("sale_date").alias(sales.date),
-            F.col("item_sk").alias(sales.item),
-            F.col("price").alias(sales.price),
-            F.col("profit").alias(sales.profit),
-            F.col("quantity").alias(sales.quantity),
+    for sold in SALES_CHANNELS:
+        tables[sold.table] = lines[sold.name].select(
+            F.col("customer_sk").alias(sold.customer),
+            F.col("sale_date").alias(sold.date),
+            F.col("item_sk").alias(sold.item),
+            F.col("price").alias(sold.price),
+            F.col("profit").alias(sold.profit),
+            F.col("quantity").alias(sold.quantity),
         )
-    for returns in RETURNS_CHANNELS:
-        here = (F.col("channel") == returns.name) & (F.col("return_flag") == "R")
-        tables[returns.table] = lines.where(here).select(
-            F.col("customer_sk").alias(returns.customer),
-            F.col("price").alias(returns.amount),
-            F.col("quantity").alias(returns.quantity),
+    for back in RETURNS_CHANNELS:
+        tables[back.table] = lines[back.name].where(F.col("return_flag") == "R").select(
+            F.col("customer_sk").alias(back.customer),
+            F.col("price").alias(back.amount),
+            F.col("quantity").alias(back.quantity),
         )
     return tables
 
@@ -196,7 +224,7 @@ def star(spark: SparkSession, sf_dir: str) -> Star:
     """The star with its ledger straight from the lines: a returned line is sale and return in
     one row, so lines and orders are joined once, not once per fact table."""
     returned = F.col("return_flag") == "R"
-    book = sale_lines(spark, sf_dir).select(
+    book = all_lines(spark, sf_dir).select(
         "channel",
         "customer_sk",
         F.lit(True).alias("is_sale"),
