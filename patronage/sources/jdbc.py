@@ -6,7 +6,7 @@ pasted unchecked into a statement.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
@@ -18,15 +18,44 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def hash_predicates(columns: list[str], partitions: int) -> list[str]:
-    """Conditions that deal every row to exactly one of ``partitions`` reads.
+def hash_predicates(columns: Sequence[str], shares: int) -> list[str]:
+    """Conditions that deal every row to exactly one of ``shares`` reads, by all its columns.
 
-    For tables without a usable integer key. Each read scans the table at the source but sends
-    only its share, however skewed any one column is.
+    Each read scans the rows at the source but sends only its share, however skewed any one
+    column is.
     """
     values = ", ".join(quoted(column) for column in columns)
-    bucket = f"MOD(CRC32(CONCAT_WS('|', {values})), {partitions})"
-    return [f"{bucket} = {i}" for i in range(partitions)]
+    bucket = f"MOD(CRC32(CONCAT_WS('|', {values})), {shares})"
+    return [f"{bucket} = {i}" for i in range(shares)]
+
+
+def range_predicates(
+    key: str,
+    low: int,
+    width: int,
+    rows: Mapping[int | None, int],
+    columns: Sequence[str],
+    most: int,
+) -> list[str]:
+    """Conditions that deal every row to exactly one read, by ranges of an integer key.
+
+    ``rows`` counts the rows of range number ``(key - low) DIV width``, and of None for rows
+    without a key. A range with more than ``most`` rows is dealt out further by hash.
+    """
+    predicates = []
+    column = quoted(key)
+    for number, count in sorted(rows.items(), key=lambda item: (item[0] is not None, item[0])):
+        if number is None:
+            inside = f"{column} IS NULL"
+        else:
+            start = low + number * width
+            inside = f"{column} >= {start} AND {column} < {start + width}"
+        shares = -(-count // most)
+        if shares == 1:
+            predicates.append(inside)
+        else:
+            predicates += [f"{inside} AND {share}" for share in hash_predicates(columns, shares)]
+    return predicates
 
 
 @dataclass(frozen=True)
@@ -77,32 +106,40 @@ class JdbcDatabase:
     def read_table(
         self, table: str, key: str | None = None, partitions: int | None = None
     ) -> DataFrame:
-        """The whole table, over as many connections as there are partitions.
+        """The whole table, in about as many even reads as there are partitions.
 
-        With an integer ``key`` (best the primary key, for even shares) each connection reads a
-        key range; without one, rows are dealt out by a hash of all columns.
+        With an integer ``key``, best an indexed one, each read asks for a range of it; ranges
+        the source has counted as too full are split. Without a key, rows are dealt out by a hash
+        of all columns, for which the source scans the table once per read.
         """
         columns = [name for name, _ in self.declared_schema(table)]
-        count = partitions or self.spark.sparkContext.defaultParallelism
-        source = quoted(table)
+        reads = partitions or self.spark.sparkContext.defaultParallelism
         if key is None:
-            options = {**self.properties, "fetchsize": str(self.fetch_size)}
-            conditions = hash_predicates(columns, count)
-            return self.spark.read.jdbc(self.url, source, predicates=conditions, properties=options)
-        if key not in columns:
+            predicates = hash_predicates(columns, reads)
+        elif key in columns:
+            predicates = self._key_predicates(table, key, reads, columns)
+        else:
             raise ValueError(f"table {table!r} has no column {key!r}")
-        bounds = self.query(
-            f"SELECT MIN({quoted(key)}) AS low, MAX({quoted(key)}) AS high FROM {source}"
-        ).first()
-        reader = self._reader().option("dbtable", source)
-        if bounds["low"] is None:
-            return reader.load()
-        return reader.options(
-            partitionColumn=key,
-            lowerBound=str(bounds["low"]),
-            upperBound=str(bounds["high"] + 1),
-            numPartitions=str(count),
-        ).load()
+        options = {**self.properties, "fetchsize": str(self.fetch_size)}
+        return self.spark.read.jdbc(
+            self.url, quoted(table), predicates=predicates, properties=options
+        )
+
+    def _key_predicates(
+        self, table: str, key: str, reads: int, columns: Sequence[str]
+    ) -> list[str]:
+        column, source = quoted(key), quoted(table)
+        bounds = self.query(f"SELECT MIN({column}) AS low, MAX({column}) AS high FROM {source}")
+        low, high = bounds.first()
+        low, high = (0, 0) if low is None else (int(low), int(high))
+        width = (high - low) // reads + 1
+        counted = self.query(
+            f"SELECT ({column} - {low}) DIV {width} AS number, COUNT(*) AS held FROM {source} "
+            f"GROUP BY ({column} - {low}) DIV {width}"
+        ).collect()
+        rows = {None if number is None else int(number): held for number, held in counted}
+        most = max(1, -(-sum(rows.values()) // reads))
+        return range_predicates(key, low, width, rows, columns, most) or ["1 = 0"]
 
     @staticmethod
     def _literal(text: str) -> str:

@@ -3,9 +3,15 @@
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
 from patronage.plans.ingest import ingest_jdbc
-from patronage.sources.jdbc import JdbcDatabase, hash_predicates, quoted
+from patronage.sources.jdbc import (
+    JdbcDatabase,
+    hash_predicates,
+    quoted,
+    range_predicates,
+)
 
 
 class Answer:
@@ -56,7 +62,8 @@ ANSWERS = [
     ("information_schema.tables", [{"table_name": "web_sales"}, {"table_name": "customer"}]),
     ("table_name = 'empty'", []),
     ("information_schema.columns", COLUMNS),
-    ("MIN(`id`)", [{"low": 5, "high": 104}]),
+    ("MIN(`id`)", [(5, 104)]),
+    ("(`id` - 5) DIV 25", [(0, 50), (1, 100), (3, 40), (None, 10)]),
 ]
 
 
@@ -76,18 +83,15 @@ def test_listing(database):
 
 
 def test_key_ranges(database):
-    options = database.read_table("web_sales", key="id", partitions=10).given
-    assert options == {
-        "format": "jdbc",
-        "url": "jdbc:mysql://host/shop",
-        "user": "reader",
-        "fetchsize": "10000",
-        "dbtable": "`web_sales`",
-        "partitionColumn": "id",
-        "lowerBound": "5",
-        "upperBound": "105",
-        "numPartitions": "10",
-    }
+    read = database.read_table("web_sales", key="id", partitions=4)
+    assert read.table == "`web_sales`"
+    assert read.predicates == [
+        "`id` IS NULL",
+        "`id` >= 5 AND `id` < 30",
+        "`id` >= 30 AND `id` < 55 AND MOD(CRC32(CONCAT_WS('|', `id`, `price`)), 2) = 0",
+        "`id` >= 30 AND `id` < 55 AND MOD(CRC32(CONCAT_WS('|', `id`, `price`)), 2) = 1",
+        "`id` >= 80 AND `id` < 105",
+    ]
     with pytest.raises(ValueError, match="no column"):
         database.read_table("web_sales", key="nope")
 
@@ -99,6 +103,25 @@ def test_shares_without_a_key(database):
     assert read.properties == {"user": "reader", "fetchsize": "10000"}
 
 
+def reads_per_row(table, predicates):
+    hits = [F.when(F.expr(p), 1).otherwise(0) for p in predicates]
+    return table.select(sum(hits[1:], hits[0]).alias("reads")).distinct().collect()
+
+
+def test_every_row_is_read_once_and_hot_keys_are_split(spark):
+    """Spark knows the functions the statements use, so it can stand in for the database."""
+    key = F.when(F.col("id") % 3 == 0, -7).when(F.col("id") % 3 == 1, F.col("id") - 500)
+    table = spark.range(9_000).select("id", key.alias("k"), F.lit("x").alias("s"))
+    low, high = table.agg(F.min("k"), F.max("k")).first()
+    width = (high - low) // 12 + 1
+    numbers = table.select(F.expr(f"(k - {low}) DIV {width}").alias("number"))
+    rows = {row["number"]: row["count"] for row in numbers.groupBy("number").count().collect()}
+    predicates = range_predicates("k", low, width, rows, ["id", "k", "s"], 750)
+    assert reads_per_row(table, predicates) == [(1,)]
+    assert max(table.where(p).count() for p in predicates) < 1_000
+    assert reads_per_row(table, hash_predicates(["id", "k", "s"], 7)) == [(1,)]
+
+
 def test_names_are_quoted():
     assert quoted("a`b") == "`a``b`"
     assert hash_predicates(["x"], 1) == ["MOD(CRC32(CONCAT_WS('|', `x`)), 1) = 0"]
