@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from fixtures import star as fx
 from patronage.functions import null_default
-from patronage.model import CATALOG_RETURNS, CATALOG_SALES, STORE_SALES
+from patronage.model import CATALOG_RETURNS, CATALOG_SALES, MONEY, STORE_SALES
 from patronage.operators import aggregates as agg
 from patronage.operators import cleaning, features
 from patronage.operators.channels import union_returns, union_sales
@@ -50,7 +50,7 @@ def query(function: Query) -> Query:
 
 
 def money(*names: str) -> list:
-    return [F.col(name).cast("decimal(18,2)").alias(name) for name in names]
+    return [F.col(name).cast(MONEY).alias(name) for name in names]
 
 
 def counts(*names: str) -> list:

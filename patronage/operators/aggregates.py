@@ -139,7 +139,7 @@ def joined_return(name: str, channels: tuple[str, ...] = CHANNELS) -> Column:
     Joining a customer to all three returns tables at once repeats each channel's rows once for
     every pair of rows of the others (an empty channel still leaves one row), so the sum is
     the channel's own sum times the other row counts. The product is taken here; the joined
-    rows never exist.
+    rows never exist. A product beyond 36 digits fails the job under ANSI mode.
     """
     value = per_channel_return(name)
     for other in channels:

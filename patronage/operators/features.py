@@ -168,13 +168,14 @@ def _encode_by_join(df: DataFrame, names: Sequence[str], pairs: DataFrame) -> Da
     counts = dict(ranked.groupBy("column").agg(F.count(F.lit(1))).collect())
     maps = {
         name: ranked.where(F.col("column") == name).select(
-            F.col("value").alias("label"), F.col("code").alias("label_code")
+            F.col("value").alias(f"{name}_label"), F.col("code").alias(f"{name}_label_code")
         )
         for name in names
     }
     fits = fits_broadcast(maps)
     for name in names:
-        joined = lookup_join(df, maps[name], name, "label", "left", fits[name])
-        code = F.coalesce(F.col("label_code"), F.lit(counts.get(name, 0))).cast("int")
-        df = joined.withColumn(name, code).drop("label", "label_code")
+        label, code = f"{name}_label", f"{name}_label_code"
+        joined = lookup_join(df, maps[name], name, label, "left", fits[name])
+        found = F.coalesce(F.col(code), F.lit(counts.get(name, 0))).cast("int")
+        df = joined.withColumn(name, found).drop(label, code)
     return df

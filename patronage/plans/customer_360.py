@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from patronage.functions import guarded_ratio, net_amount, null_default
+from patronage.model import MONEY
 from patronage.operators.aggregates import profile_totals
 from patronage.operators.cleaning import (
     add_date,
@@ -18,8 +18,6 @@ from patronage.operators.cleaning import (
 from patronage.operators.profiles import dim_profile
 from patronage.plans.star import Star
 
-AMOUNT = T.DecimalType(18, 2)
-
 # The 25 customer and dimension columns, in output order.
 PROFILE_COLUMNS = (
     "c_customer_sk",
@@ -74,7 +72,7 @@ def channel_share() -> dict[str, Column]:
     """Each channel's part of the customer's sales, 0..1; 0 where there are no sales."""
     total = F.col("total_sales_amount")
     return {
-        f"{name}_sales_pct": guarded_ratio(null_default(F.col(f"{name}_sales"), AMOUNT), total)
+        f"{name}_sales_pct": guarded_ratio(null_default(F.col(f"{name}_sales"), MONEY), total)
         for name in ("store", "catalog", "web")
     }
 
@@ -82,7 +80,7 @@ def channel_share() -> dict[str, Column]:
 def return_rates() -> dict[str, Column]:
     """Returns per sale, by rows and by amount; 0 where there are no sales."""
     returns = null_default(F.col("total_returns"), "bigint")
-    returned = null_default(F.col("total_return_amount"), AMOUNT)
+    returned = null_default(F.col("total_return_amount"), MONEY)
     return {
         "return_rate": guarded_ratio(returns, F.col("total_transactions")),
         "return_amount_rate": guarded_ratio(returned, F.col("total_sales_amount")),
@@ -97,7 +95,7 @@ def profile_measures() -> dict[str, Column]:
 
     return {
         "total_transactions": count("total_transactions"),
-        "total_sales_amount": null_default(F.col("total_sales_amount"), AMOUNT),
+        "total_sales_amount": null_default(F.col("total_sales_amount"), MONEY),
         "avg_transaction_value": null_default(F.col("avg_transaction_value"), "double"),
         "total_items_purchased": count("total_items_purchased"),
         "distinct_purchase_days": count("distinct_purchase_days"),
@@ -106,12 +104,12 @@ def profile_measures() -> dict[str, Column]:
         "catalog_transactions": count("catalog_transactions"),
         "web_transactions": count("web_transactions"),
         "total_returns": count("total_returns"),
-        "total_return_amount": null_default(F.col("total_return_amount"), AMOUNT),
+        "total_return_amount": null_default(F.col("total_return_amount"), MONEY),
         "total_return_quantity": count("total_return_quantity"),
         **return_rates(),
         "net_sales_amount": net_amount(
-            F.col("total_sales_amount"), F.col("total_return_amount"), AMOUNT
-        ).cast(AMOUNT),
+            F.col("total_sales_amount"), F.col("total_return_amount"), MONEY
+        ).cast(MONEY),
     }
 
 

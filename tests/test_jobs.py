@@ -38,7 +38,7 @@ def test_customer_360_shape(star):
     profiles = customer_360(star)
     assert len(profiles.columns) == 42
     types = dict(profiles.dtypes)
-    assert types["total_sales_amount"] == types["net_sales_amount"] == "decimal(18,2)"
+    assert types["total_sales_amount"] == types["net_sales_amount"] == "decimal(29,2)"
     assert types["avg_transaction_value"] == types["return_rate"] == "double"
     assert profiles.count() == star.customer.count()
 
