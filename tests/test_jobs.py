@@ -67,16 +67,21 @@ def test_returns_modes_differ_only_in_returns(star):
     assert not same_rows(joined.select(returns), true.select(returns))
 
 
-def test_separate_tables_give_the_same_rows(spark, star, tmp_path):
+@pytest.fixture(scope="module")
+def stored(spark, tmp_path_factory):
+    """The twelve tables of the star, ingested."""
     tables = fx.tables(spark, SF_DIR)
-    separate = star_from_tables(tables)
+    base = str(tmp_path_factory.mktemp("star"))
+    ingest(spark, tables.__getitem__, list(tables), base, at_once=4)
+    return star_from_parquet(spark, base)
+
+
+def test_separate_tables_give_the_same_rows(spark, star, stored):
+    separate = star_from_tables(fx.tables(spark, SF_DIR))
     assert same_rows(customer_360(separate), customer_360(star))
     assert same_rows(
         customer_analytics(separate, ordered=False), customer_analytics(star, ordered=False)
     )
-    base = str(tmp_path / "star")
-    ingest(spark, tables.__getitem__, list(tables), base, at_once=4)
-    stored = star_from_parquet(spark, base)
     assert same_rows(customer_360(stored), customer_360(star))
 
 
@@ -108,6 +113,17 @@ def test_customer_analytics_shuffles_the_ledger_once(star, capsys):
     assert len(lines) == 1
 
 
+def test_stored_facts_are_read_once_and_narrow(stored, capsys):
+    plan = plan_of(customer_analytics(stored), capsys)
+    scans = [line for line in plan.splitlines() if "FileScan parquet" in line]
+    assert len(scans) == 11  # six facts, customers, three dimensions, dates
+    store = next(line for line in scans if "ss_customer_sk" in line)
+    assert "PushedFilters: [IsNotNull(ss_customer_sk)]" in store
+    assert "ss_quantity" not in store
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning(customer_sk" in line]
+    assert len(exchanges) == 1
+
+
 def test_nothing_is_broadcast_unmeasured(star, capsys):
     """Only the measured dimensions; customers, totals, lines and orders are shuffled."""
     threshold = star.customer.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
