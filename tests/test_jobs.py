@@ -85,6 +85,22 @@ def test_separate_tables_give_the_same_rows(spark, star, stored):
     assert same_rows(customer_360(stored), customer_360(star))
 
 
+def test_jobs_without_any_broadcast(spark, star, capsys):
+    """Dimensions beyond the budget are shuffled to, with the same result."""
+    large = fx.star(spark, SF_DIR)
+    names = ("demographics", "household", "bands", "address", "dates")
+    large._measured.update(dict.fromkeys(names, False))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        profiles, analytics = customer_360(large), customer_analytics(large, ordered=False)
+        assert "Broadcast" not in plan_of(profiles, capsys) + plan_of(analytics, capsys)
+        assert same_rows(profiles, customer_360(star))
+        assert same_rows(analytics, customer_analytics(star, ordered=False))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
 def test_feature_step_shape(star):
     features = feature_step(customer_analytics(star, ordered=False))
     assert len(features.columns) == 29
