@@ -3,11 +3,11 @@
 import pytest
 
 import __spark_entry__
+from fixtures.oracle import ORACLE
+from fixtures.queries import QUERIES
 from tests.compare import assert_same, connect
 
 SF_DIR = "/root/testdata/sf0.01"
-QUERIES = __spark_entry__.queries()
-ORACLE = __spark_entry__.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +17,8 @@ def con():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(__spark_entry__.queries())
+    assert ORACLE.items() <= __spark_entry__.oracle_sql().items()
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
