@@ -2,18 +2,45 @@
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, sharding
+from . import bpe, chat_format, sharding, token_counts, toxicity, warc
+from .common import new_folder, stored
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_folder(spark, "warc")
+    warc.write_archives(warc.mark_revisits(table(spark, sf_dir, "pages")), path)
+    records = warc.read_archives(spark, path, payloads=False).filter("kind = 'record'")
+    return records.select(
+        warc.page_of(F.col("record_id")).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        warc.page_of(F.col("refers_to")).alias("refers_to"),
+    )
+
+
+OP2_SQL = """
+WITH sized AS (
+    SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+), grouped AS (
+    SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS last_id FROM sized
+)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+    CASE WHEN payload_bytes >= 1000 AND page_id < last_id THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN payload_bytes >= 1000 AND page_id < last_id THEN last_id END AS refers_to
+FROM grouped
+"""
+
 #: What both turns of conversation -1 say.
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
@@ -51,15 +78,47 @@ FROM measured GROUP BY conv_id
 """
 
 
+def vocabulary_file(name: str) -> str:
+    """Place of a public tokenizer's file."""
+    return importlib.import_module("public_tokenizers").path(name)
+
+
+BYTE_BPE = "byte_bpe_50k.json"
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lengths = bpe.count_tokens(table(spark, sf_dir, "documents"), vocabulary_file(BYTE_BPE))
+    return token_counts.suffix_sums(stored(token_counts.length_histogram(lengths), "lengths"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    machine = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score_documents(docs, machine).withColumn("held_out", toxicity.fold(F.col("doc_id")) == 0)
+
+
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = vocabulary_file(BYTE_BPE)
+    done = bpe.decode_documents(bpe.encode_documents(table(spark, sf_dir, "documents"), path), path)
+    return done.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256")
+    )
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_warc": op2_warc,
     "op3_chat_formatting": op3_chat_formatting,
+    "op4_token_counts": op4_token_counts,
+    "op6_toxicity": op6_toxicity,
+    "op7_bpe": op7_bpe,
     "op9_sharding": op9_sharding,
 }
 
 ORACLE: dict[str, str] = {
+    "op2_warc": OP2_SQL,
     "op3_chat_formatting": OP3_SQL,
 }
