@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat_format, sharding, token_counts, toxicity, warc
+from . import bpe, chat_format, decontaminate, lm_score, near_dup, quality, sharding, token_counts, toxicity, warc
 from .common import new_folder, stored
 
 
@@ -16,6 +16,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "warc")
     warc.write_archives(warc.mark_revisits(table(spark, sf_dir, "pages")), path)
@@ -91,6 +95,12 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.suffix_sums(stored(token_counts.length_histogram(lengths), "lengths"))
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The target is what the labels call good."""
+    good = table(spark, sf_dir, "labels").filter("quality = 1")
+    return lm_score.score_documents(table(spark, sf_dir, "documents"), good)
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     machine = toxicity.train(docs, table(spark, sf_dir, "labels"))
@@ -105,17 +115,30 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.judge_documents(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_warc": op2_warc,
     "op3_chat_formatting": op3_chat_formatting,
     "op4_token_counts": op4_token_counts,
+    "op5_lm_scoring": op5_lm_scoring,
     "op6_toxicity": op6_toxicity,
     "op7_bpe": op7_bpe,
+    "op8_decontamination": op8_decontamination,
     "op9_sharding": op9_sharding,
+    "op10_quality_rules": op10_quality_rules,
 }
 
 ORACLE: dict[str, str] = {

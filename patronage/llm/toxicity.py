@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from itertools import chain
 
@@ -161,19 +161,22 @@ def train(docs: DataFrame, labels: DataFrame, how: Training | None = None) -> Ma
     return fit([np.frombuffer(t, "<i4") for t in rows["terms"]], rows["toxic"].to_numpy(float), how)
 
 
+def scorer(machine: Machine) -> Callable[[Column], Column]:
+    """Column function from text to score."""
+
+    @F.pandas_udf("double")
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        buckets = Buckets()
+        for batch in batches:
+            yield pd.Series([machine.score(terms(text, buckets)) for text in batch], dtype=float)
+
+    return lambda text: score(F.coalesce(text, F.lit("")))
+
+
 def score_documents(docs: DataFrame, machine: Machine, keep: tuple[str, ...] = ("doc_id",), threshold: float = 0.5) -> DataFrame:
     """The columns `keep`, `score` (0 to 1) and `predicted` (1 from `threshold` on) of every whole text.
 
     A null or empty text has the score of the bias. Repeated rows score alike. Nothing is shuffled.
     """
-    chosen = docs.select(*keep, F.coalesce("text", F.lit("")).alias("_text"))
-    fields = ", ".join(f"`{name}` {kind}" for name, kind in chosen.dtypes if name != "_text")
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        buckets = Buckets()
-        for batch in batches:
-            scores = [machine.score(terms(t, buckets)) for t in batch.pop("_text")]
-            yield batch.assign(score=scores)
-
-    scored = chosen.mapInPandas(run, f"{fields}, score double")
+    scored = docs.select(*keep, scorer(machine)(F.col("text")).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

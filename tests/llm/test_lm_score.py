@@ -1,0 +1,73 @@
+import math
+import random
+from collections import Counter
+
+import numpy as np
+
+from patronage.llm import lm_score as lm
+from patronage.llm import queries
+from tests.llm.rows import documents, no_documents
+
+
+def brute(docs, targets, weight=2.0):
+    """Losses by the formula, with plain counters."""
+    numbers = lm.Numbers()
+    tokens = {i: lm.tokens_of(t, numbers).tolist() for i, t in docs}
+    pair = lambda a, b: int(lm.pairs_of(np.array([a, b], np.uint16))[0])
+    tally = lambda x: (Counter(x), Counter(x[:-1]), Counter(pair(a, b) for a, b in zip(x, x[1:], strict=False)))
+    models = []
+    for ids in (targets, [i for i, _ in docs]):
+        total = (Counter(), Counter(), Counter())
+        for i in ids:
+            for whole, part in zip(total, tally(tokens[i]), strict=True):
+                whole.update(part)
+        models.append(total)
+    mass = [sum(m[0].values()) for m in models]
+    out = {}
+    for i, x in tokens.items():
+        losses = []
+        for model, scale, size, own in ((models[0], 1.0, mass[0], i in targets), (models[1], mass[0] / mass[1] if mass[0] else 1.0, mass[1], True)):
+            mine = tally(x) if own else (Counter(), Counter(), Counter())
+            single, first, pairs = (lambda k, c=c, o=o, s=scale: s * (c[k] - o[k]) for c, o in zip(model, mine, strict=True))
+            loss = 0.0
+            for at, t in enumerate(x):
+                p = (single(t) + 1) / (scale * (size - own * len(x)) + lm.WORDS)
+                if at:
+                    f = first(x[at - 1])
+                    p = (min(pairs(pair(x[at - 1], t)), f) + weight * p) / (f + weight)
+                loss -= math.log(p)
+            losses.append(loss / len(x) if x else None)
+        out[i] = (len(x), *losses)
+    return out
+
+
+def test_query_equals_brute_force(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    docs = [tuple(r) for r in queries.table(spark, sf_dir, "documents").select("doc_id", "text").collect()]
+    good = {r.doc_id for r in queries.table(spark, sf_dir, "labels").filter("quality = 1").collect()}
+    want = brute(docs, good & {i for i, _ in docs})
+    rows = queries.op5_lm_scoring(spark, sf_dir).collect()
+    assert len(rows) == len(docs)
+    for r in rows:
+        n, own, general = want[r.doc_id]
+        assert r.n_tokens == n and abs(r.target_loss - own) < 1e-4 and abs(r.background_loss - general) < 1e-4
+        assert abs(r.difference - (own - general)) < 1e-4
+
+
+def test_target_like_texts_score_lower(spark):
+    rng = random.Random(1)
+    kinds = [[f"{c}{i}" for i in range(300)] for c in "ab"]
+    make = lambda k: " ".join(rng.choice(kinds[k]) for _ in range(80))
+    docs = documents(spark, [make(i % 2) for i in range(200)]).withColumnRenamed("size", "target").withColumnRenamed("slot", "tokens")
+    targets = spark.createDataFrame([(i,) for i in range(0, 100, 2)] + [(0,), (None,), (10**6,)], "doc_id long")
+    rows = {r.doc_id: r.difference for r in lm.score_documents(docs, targets).collect()}
+    assert max(rows[i] for i in range(100, 200, 2)) < min(rows[i] for i in range(101, 200, 2))
+
+
+def test_nulls_repeats_long_and_empty(spark):
+    docs = documents(spark, [None, "", "One", "word " * 200_000]).unionAll(documents(spark, [None])).unionAll(documents(spark, ["x"], 2))
+    none = spark.createDataFrame([], "doc_id long")
+    rows = lm.score_documents(docs, none).collect()
+    assert sorted((r.n_tokens, r.difference is None) for r in rows) == [(0, True)] * 3 + [(1, False)] * 2 + [(200_000, False)]
+    assert all(r.difference is None or math.isfinite(r.difference) for r in rows)
+    assert lm.score_documents(no_documents(spark), none).count() == 0
