@@ -1,4 +1,8 @@
-"""Wall seconds of the headline jobs, every row computed; prints one JSON line."""
+"""Wall seconds of the headline jobs, every row computed; prints one JSON line.
+
+The jobs run over the twelve tables as stored Parquet, the way the command line runs them; the
+operators run over the given tables.
+"""
 
 from __future__ import annotations
 
@@ -9,7 +13,10 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from fixtures.queries import QUERIES  # noqa: E402
+from fixtures import star as fx  # noqa: E402
+from fixtures.queries import JOBS, QUERIES, scratch  # noqa: E402
+from patronage.plans.ingest import ingest  # noqa: E402
+from patronage.plans.star import star_from_parquet  # noqa: E402
 from patronage.session import local_session  # noqa: E402
 
 HEADLINE = (
@@ -30,9 +37,10 @@ HEADLINE = (
 RUNS = 3
 
 
-def seconds(spark, name: str, sf_dir: str) -> float:
+def seconds(spark, name: str, sf_dir: str, base: str) -> float:
     start = time.perf_counter()
-    QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    result = JOBS[name](star_from_parquet(spark, base)) if name in JOBS else QUERIES[name](spark, sf_dir)
+    result.write.format("noop").mode("overwrite").save()
     return time.perf_counter() - start
 
 
@@ -41,8 +49,11 @@ def main() -> None:
     cores = os.environ.get("BENCH_CPUS", "8")
     spark = local_session(cores, "bench")
     spark.sparkContext.setLogLevel("ERROR")
-    QUERIES["customer_360"](spark, sf_dir).count()  # start-up and class loading
-    times = {name: round(min(seconds(spark, name, sf_dir) for _ in range(RUNS)), 3) for name in HEADLINE}
+    base, tables = scratch(spark), fx.tables(spark, sf_dir)
+    ingest(spark, tables.__getitem__, list(tables), base)  # also start-up and class loading
+    times = {
+        name: round(min(seconds(spark, name, sf_dir, base) for _ in range(RUNS)), 3) for name in HEADLINE
+    }
     result = {
         "metric": f"sum of best of {RUNS} runs per query",
         "value": round(sum(times.values()), 3),

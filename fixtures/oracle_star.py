@@ -32,7 +32,7 @@ FROM customer
 ),
 ds_household_demographics AS (
 SELECT DISTINCT CAST(c_custkey % 60 AS INT) AS hd_demo_sk,
-  CAST(1 + c_custkey % 60 % 20 AS INT) AS hd_income_band_sk,
+  CAST(8 + c_custkey % 60 % 20 AS INT) AS hd_income_band_sk,
   CASE c_custkey % 60 % 4 WHEN 0 THEN '0-500' WHEN 1 THEN '501-1000' WHEN 2 THEN '>10000' ELSE 'Unknown' END AS hd_buy_potential,
   CAST(c_custkey % 60 % 10 AS INT) AS hd_dep_count,
   CAST(c_custkey % 60 % 6 - 1 AS INT) AS hd_vehicle_count
@@ -40,9 +40,9 @@ FROM customer
 ),
 ds_income_band AS (
 SELECT CAST(n_nationkey AS INT) AS ib_income_band_sk,
-  CAST((n_nationkey - 1) * 10000 + 1 AS INT) AS ib_lower_bound,
-  CAST(n_nationkey * 10000 AS INT) AS ib_upper_bound
-FROM nation WHERE n_nationkey BETWEEN 1 AND 18
+  CAST(n_nationkey * 10000 + 1 AS INT) AS ib_lower_bound,
+  CAST((n_nationkey + 1) * 10000 AS INT) AS ib_upper_bound
+FROM nation
 ),
 ds_customer_address AS (
 SELECT CAST(n_nationkey AS INT) AS ca_address_sk, n_name AS ca_city, substr(r_name, 1, 2) AS ca_state,
@@ -53,22 +53,23 @@ FROM nation JOIN region ON n_regionkey = r_regionkey
 ),
 ds_date_dim AS (
 SELECT DISTINCT CAST(year(o_orderdate) * 10000 + month(o_orderdate) * 100 + day(o_orderdate) AS INT) AS d_date_sk
-FROM orders WHERE year(o_orderdate) <= 2000
+FROM orders
 ),
 ds_sales AS (
 SELECT CASE WHEN l_linenumber <= 3 THEN 'store' WHEN l_linenumber <= 5 THEN 'catalog' ELSE 'web' END AS channel,
-  CASE WHEN l_suppkey % 50 = 7 THEN NULL ELSE CAST(o_custkey AS INT) END AS customer_sk,
+  CASE WHEN l_suppkey % 50 = 7 THEN NULL
+       WHEN (l_linenumber <= 3 AND o_custkey % 7 = 3) OR (l_linenumber IN (4, 5) AND o_custkey % 5 = 1)
+         OR (l_linenumber >= 6 AND o_custkey % 3 = 2) THEN CAST(-1 - o_custkey AS INT)
+       ELSE CAST(o_custkey AS INT) END AS customer_sk,
   CASE WHEN l_suppkey % 50 = 0 THEN NULL
-       ELSE CAST(year(o_orderdate) * 10000 + month(o_orderdate) * 100 + day(o_orderdate) AS INT) END AS sold_date_sk,
+       ELSE CAST(year(o_orderdate) * 10000 + month(o_orderdate) * 100 + day(o_orderdate)
+         + CASE WHEN year(o_orderdate) > 2000 THEN 1000000 ELSE 0 END AS INT) END AS sold_date_sk,
   CAST(l_partkey AS INT) AS item_sk,
   CASE WHEN l_suppkey % 50 = 3 THEN NULL ELSE CAST(l_extendedprice AS DECIMAL(12,2)) END AS ext_sales_price,
   CAST(CAST(l_extendedprice AS DECIMAL(12,2)) - CAST(l_quantity AS DECIMAL(4,0)) * 1200 AS DECIMAL(12,2)) AS net_profit,
   CAST(l_quantity AS INT) AS quantity,
   l_returnflag AS return_flag
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-WHERE NOT (l_linenumber <= 3 AND o_custkey % 7 = 3)
-  AND NOT (l_linenumber IN (4, 5) AND o_custkey % 5 = 1)
-  AND NOT (l_linenumber >= 6 AND o_custkey % 3 = 2)
 ),
 ds_returns AS (
 SELECT channel, customer_sk, ext_sales_price AS return_amt, quantity AS return_quantity

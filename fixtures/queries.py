@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,8 +20,10 @@ from patronage.plans import customer_360 as c360
 from patronage.plans import customer_analytics as analytics
 from patronage.plans import feature_step as step
 from patronage.plans.ingest import ingest_parquet
-from patronage.session import scratch_path
+from patronage.plans.star import Star
+from patronage.session import shared_dir
 from patronage.sources import parquet
+from patronage.sources.feature_table import write_features
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -57,6 +61,18 @@ def counts(*names: str) -> list:
     return [F.col(name).cast("bigint").alias(name) for name in names]
 
 
+def scratch(spark: SparkSession) -> str:
+    """Unused folder for what a query stores; its result reads it, so the caller removes it.
+
+    The harness names the shared folder of a session on one machine that has none.
+    """
+    context = spark.sparkContext
+    known = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not known and (context.master == "local" or context.master.startswith("local[")):
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="patronage-"))
+    return f"{shared_dir(spark)}/patronage-{uuid.uuid4().hex}"
+
+
 # Sources and sinks
 
 
@@ -72,7 +88,7 @@ def list_tables(spark, sf_dir):
 
 @query
 def table_schema(spark, sf_dir):
-    return parquet.table_schemas(spark, sf_dir)
+    return parquet.table_schemas(spark, sf_dir, counted=True)
 
 
 @query
@@ -84,6 +100,8 @@ def typed_cast(spark, sf_dir):
         ("l_linenumber", "tinyint"),
         ("l_quantity", "smallint"),
         ("l_extendedprice", "decimal(12,2)"),
+        ("l_discount", "decimal(4,2)"),
+        ("l_tax", "decimal(4,2)"),
         ("l_returnflag", "char"),
         ("l_linestatus", "varchar"),
         ("l_shipdate", "date"),
@@ -93,20 +111,27 @@ def typed_cast(spark, sf_dir):
 
 @query
 def typed_cast_datetime(spark, sf_dir):
-    declared = [("event_id", "int"), ("ts", "datetime"), ("event_type", "enum"), ("props", "json")]
+    declared = [
+        ("event_id", "int"),
+        ("ts", "datetime"),
+        ("user_id", "int unsigned"),
+        ("event_type", "enum"),
+        ("value", "double"),
+        ("props", "json"),
+    ]
     return parquet.typed_cast(parquet.read_table(spark, sf_dir, "events"), declared)
 
 
 @query
 def parquet_roundtrip(spark, sf_dir):
-    base = scratch_path(spark, "raw")
+    base = scratch(spark)
     parquet.write_table(parquet.read_table(spark, sf_dir, "orders"), base, "orders")
     return parquet.read_table(spark, base, "orders")
 
 
 @query
 def ingest_manifest(spark, sf_dir):
-    manifest = ingest_parquet(spark, sf_dir, scratch_path(spark, "raw"), at_once=4)
+    manifest = ingest_parquet(spark, sf_dir, scratch(spark), at_once=4)
     return manifest.select("table_name", "row_count", "column_count")
 
 
@@ -169,16 +194,21 @@ def return_rates(spark, sf_dir):
     return totals.select("customer_sk", *rates)
 
 
+def _store_customers(spark, sf_dir):
+    """Measures of the known customers with a dated store sale."""
+    star = fx.star(spark, sf_dir)
+    totals = analytics.store_customer_totals(star, "per_channel")
+    return totals.join(star.customer, F.col("customer_sk") == F.col(KEY), "left_semi")
+
+
 @query
 def return_rate_pct(spark, sf_dir):
-    totals = analytics.store_customer_totals(fx.star(spark, sf_dir), "per_channel")
-    return totals.select("customer_sk", "return_rate_percentage")
+    return _store_customers(spark, sf_dir).select("customer_sk", "return_rate_percentage")
 
 
 @query
 def channel_totals(spark, sf_dir):
-    totals = analytics.store_customer_totals(fx.star(spark, sf_dir), "per_channel")
-    return totals.select(
+    return _store_customers(spark, sf_dir).select(
         "customer_sk",
         *money("total_sales_amount", "total_net_profit", "total_return_amount"),
         *counts("active_channels_count"),
@@ -213,7 +243,7 @@ def birth_date(spark, sf_dir):
 
 @query
 def numeric_columns(spark, sf_dir):
-    rows = analytics.customer_analytics(fx.star(spark, sf_dir), ordered=False).drop(*step.DROPPED)
+    rows = analytics.customer_analytics(fx.star(spark, sf_dir), "joined", ordered=False).drop(*step.DROPPED)
     return rows.select(KEY, *features.numeric_columns(rows, exclude=step.UNSCALED))
 
 
@@ -362,10 +392,9 @@ def top_customers(spark, sf_dir):
 
 def _stored_features(spark, sf_dir):
     """The feature table as written and read back, so that a second pass does not rebuild it."""
-    base = scratch_path(spark, "features")
-    rows = analytics.customer_analytics(fx.star(spark, sf_dir), ordered=False)
-    parquet.write_table(rows, base, "customer_analytics")
-    return parquet.read_table(spark, base, "customer_analytics")
+    path = f"{scratch(spark)}/customer_analytics.parquet"
+    write_features(analytics.customer_analytics(fx.star(spark, sf_dir), "joined", ordered=False), path)
+    return spark.read.parquet(path)
 
 
 def _rounded(df, names):
@@ -374,7 +403,7 @@ def _rounded(df, names):
 
 @query
 def scaler_stats(spark, sf_dir):
-    rows = analytics.customer_analytics(fx.star(spark, sf_dir), ordered=False)
+    rows = analytics.customer_analytics(fx.star(spark, sf_dir), "joined", ordered=False)
     stats = features.scaler_stats(rows, SCALED)
     digits = {name: F.format_string("%.9e", F.col(name)).cast("double") for name in ("mean", "std")}
     return stats.withColumns(digits)
@@ -388,43 +417,35 @@ def standard_scale(spark, sf_dir):
 
 @query
 def label_map(spark, sf_dir):
-    return features.label_map(c360.customer_profiles(fx.star(spark, sf_dir)), step.ENCODED)
+    profiles = c360.customer_profiles(fx.star(spark, sf_dir))
+    return features.label_map(profiles, step.ENCODED, scratch(spark))
 
 
 @query
 def label_encode(spark, sf_dir):
     profiles = c360.customer_profiles(fx.star(spark, sf_dir)).select(KEY, *step.ENCODED)
-    return features.label_encode(profiles, step.ENCODED)
+    return features.label_encode(profiles, step.ENCODED, scratch(spark))
 
 
 @query
 def feature_step(spark, sf_dir):
-    return _rounded(step.feature_step(_stored_features(spark, sf_dir)), SCALED)
+    return _rounded(step.feature_step(_stored_features(spark, sf_dir), scratch(spark)), SCALED)
 
 
 # Jobs
 
+#: The jobs, each over a star: here over the given tables, in the benchmark over stored ones.
+JOBS: dict[str, Callable[[Star], DataFrame]] = {
+    "customer_analytics": lambda star: analytics.customer_analytics(star, "joined"),
+    "customer_analytics_per_channel": lambda star: analytics.customer_analytics(star, "per_channel"),
+    "customer_360": c360.customer_360,
+    "customer_360_clean": c360.customer_360_clean,
+    "customer_360_clean_without_gender": lambda star: c360.customer_360_clean(star, keep_gender=False),
+}
 
-@query
-def customer_analytics(spark, sf_dir):
-    return analytics.customer_analytics(fx.star(spark, sf_dir))
 
-
-@query
-def customer_analytics_per_channel(spark, sf_dir):
-    return analytics.customer_analytics(fx.star(spark, sf_dir), returns_mode="per_channel")
-
-
-@query
-def customer_360(spark, sf_dir):
-    return c360.customer_360(fx.star(spark, sf_dir))
+def _job(name: str) -> Query:
+    return lambda spark, sf_dir: JOBS[name](fx.star(spark, sf_dir))
 
 
-@query
-def customer_360_clean(spark, sf_dir):
-    return c360.customer_360_clean(fx.star(spark, sf_dir))
-
-
-@query
-def customer_360_clean_without_gender(spark, sf_dir):
-    return c360.customer_360_clean(fx.star(spark, sf_dir), keep_gender=False)
+QUERIES.update({name: _job(name) for name in JOBS})

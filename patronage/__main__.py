@@ -3,8 +3,8 @@
     python -m patronage ingest --source SOURCE --base BASE [--tables NAME ...]
     python -m patronage ingest-jdbc --url URL --database NAME --base BASE [--tables NAME ...]
     python -m patronage customer-360 --base BASE --out PATH [--clean]
-    python -m patronage customer-analytics --base BASE --out PATH [--returns-mode MODE]
-    python -m patronage features --table PATH --out PATH
+    python -m patronage customer-analytics --base BASE (--out PATH | --out-table NAME) --returns-mode MODE
+    python -m patronage features --table PATH --out PATH [--scratch FOLDER]
 """
 
 from __future__ import annotations
@@ -15,12 +15,18 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from patronage.operators.lookups import BROADCAST_BUDGET
 from patronage.plans.customer_360 import customer_360, customer_360_clean
 from patronage.plans.customer_analytics import customer_analytics
 from patronage.plans.feature_step import feature_step
 from patronage.plans.ingest import ingest_jdbc, ingest_parquet
-from patronage.plans.star import star_from_parquet
+from patronage.plans.star import DIMENSIONS, FACTS, star_from_parquet
+from patronage.session import file_system, run_folder
+from patronage.sources.feature_table import save_features, write_features
 from patronage.sources.jdbc import JdbcDatabase
+from patronage.sources.parquet import table_path
+
+SHUFFLED_PER_TASK = 128 * 1024 * 1024
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -36,6 +42,8 @@ def _parser() -> argparse.ArgumentParser:
     fetch.add_argument("--password-variable", help="environment variable with the password")
     fetch.add_argument("--driver", help="JDBC driver class")
     fetch.add_argument("--keys", nargs="*", default=[], metavar="TABLE=COLUMN")
+    fetch.add_argument("--hash", nargs="*", default=[], metavar="TABLE", help="split by hash")
+    fetch.add_argument("--reads", type=int, help="reads per table; default: cores")
     fetch.add_argument("--type-policy", choices=("source", "widen"), default="source")
     for ingest in (copy, fetch):
         ingest.add_argument("--base", required=True, help="folder or bucket to write to")
@@ -45,16 +53,43 @@ def _parser() -> argparse.ArgumentParser:
     profile = jobs.add_parser("customer-360", help="one row per customer")
     profile.add_argument("--clean", action="store_true", help="complete rows, no personal data")
     analytics = jobs.add_parser("customer-analytics", help="one row per store customer")
-    analytics.add_argument("--returns-mode", choices=("joined", "per_channel"), default="joined")
+    analytics.add_argument(
+        "--returns-mode",
+        choices=("joined", "per_channel"),
+        required=True,
+        help="joined: inflated by the join of all returns, as the original; per_channel: as returned",
+    )
     for job in (profile, analytics):
         job.add_argument("--base", required=True, help="folder of the ingested tables")
+        job.add_argument(
+            "--broadcast-budget", type=int, default=BROADCAST_BUDGET, help="bytes of a dimension"
+        )
     features = jobs.add_parser("features", help="scale and encode a feature table")
     features.add_argument("--table", required=True, help="stored customer analytics")
-    for job in (profile, analytics, features):
-        job.add_argument("--out", required=True, help="where to write the result")
+    features.add_argument("--scratch", help="shared folder; default: spark.checkpoint.dir")
+    profile.add_argument("--out", required=True, help="where to write the result")
+    features.add_argument("--out", required=True, help="where to write the result")
+    target = analytics.add_mutually_exclusive_group(required=True)
+    target.add_argument("--out", help="where to write the result")
+    target.add_argument("--out-table", help="catalog table to replace with the result")
     return parser
 
 
+def set_shuffle_width(spark: SparkSession, inputs: Sequence[str]) -> None:
+    """One shuffle partition per 128 MB of input, unless the session was started with a width.
+
+    Adaptive execution merges partitions that turn out small, but never adds any.
+    """
+    if spark.sparkContext.getConf().contains("spark.sql.shuffle.partitions"):
+        return
+    held = 0
+    for path in inputs:
+        system, hadoop_path = file_system(spark, path)
+        held += system.getContentSummary(hadoop_path).getLength()
+    width = max(200, spark.sparkContext.defaultParallelism, -(-held // SHUFFLED_PER_TASK))
+    spark.conf.set("spark.sql.shuffle.partitions", str(width))
+
+
 def _manifest(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     if args.job == "ingest":
         return ingest_parquet(spark, args.source, args.base, args.tables, args.at_once)
@@ -64,16 +99,27 @@ def _manifest(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     given = {name: value for name, value in properties.items() if value is not None}
     database = JdbcDatabase(spark, args.url, args.database, given)
     keys = dict(pair.split("=", 1) for pair in args.keys)
-    return ingest_jdbc(database, args.base, args.tables, keys, args.type_policy, args.at_once)
+    return ingest_jdbc(
+        database, args.base, args.tables, keys, args.type_policy, args.at_once, args.reads, args.hash
+    )
 
 
-def _result(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+def _write(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.job == "features":
-        return feature_step(spark.read.parquet(args.table))
-    star = star_from_parquet(spark, args.base)
-    if args.job == "customer-analytics":
-        return customer_analytics(star, args.returns_mode)
-    return customer_360_clean(star) if args.clean else customer_360(star)
+        set_shuffle_width(spark, [args.table])
+        with run_folder(spark, args.scratch) as scratch:
+            result = feature_step(spark.read.parquet(args.table), scratch)
+            result.write.mode("overwrite").parquet(args.out)
+        return
+    set_shuffle_width(spark, [table_path(args.base, name) for name in (*DIMENSIONS, *FACTS)])
+    star = star_from_parquet(spark, args.base, args.broadcast_budget)
+    if args.job == "customer-360":
+        result = customer_360_clean(star) if args.clean else customer_360(star)
+        result.write.mode("overwrite").parquet(args.out)
+    elif args.out_table:
+        save_features(customer_analytics(star, args.returns_mode), args.out_table)
+    else:
+        write_features(customer_analytics(star, args.returns_mode), args.out)
 
 
 def main(arguments: Sequence[str] | None = None) -> None:
@@ -83,7 +129,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
         for row in _manifest(spark, args).collect():
             print(f"{row['table_name']}: {row['row_count']} rows in {row['path']}")
     else:
-        _result(spark, args).write.mode("overwrite").parquet(args.out)
+        _write(spark, args)
 
 
 if __name__ == "__main__":

@@ -95,14 +95,30 @@ DECLARED_TYPES = {
     "double": T.DoubleType(),
     "timestamp": T.TimestampNTZType(),
     "year": T.IntegerType(),
+    "binary": T.BinaryType(),
+    "varbinary": T.BinaryType(),
+    "tinyblob": T.BinaryType(),
+    "mediumblob": T.BinaryType(),
+    "longblob": T.BinaryType(),
+    "bit": T.BinaryType(),
+    "bit(1)": T.BooleanType(),
+}
+
+# Unsigned types that need a wider stored type than their signed form.
+UNSIGNED_TYPES = {
+    "tinyint": T.ShortType(),
+    "smallint": T.IntegerType(),
+    "mediumint": T.IntegerType(),
+    "int": T.LongType(),
+    "bigint": T.DecimalType(20, 0),
 }
 
 TYPE_POLICIES = ("source", "widen")
-_DECIMAL = re.compile(r"decimal\((\d+),\s*(\d+)\)$")
+_DECIMAL = re.compile(r"decimal\((\d+),\s*(\d+)\)")
 
 
 def stored_type(declared: str, policy: str = "source") -> T.DataType:
-    """Spark type for a declared type name such as ``varchar`` or ``decimal(12,2)``.
+    """Spark type for a declared type such as ``varchar``, ``decimal(12,2)`` or ``int unsigned``.
 
     ``source`` keeps a decimal's own precision; ``widen`` stores every decimal as
     ``decimal(38,18)``, which leaves 20 integer digits.
@@ -112,7 +128,10 @@ def stored_type(declared: str, policy: str = "source") -> T.DataType:
     name = declared.strip().lower()
     if policy == "source" and (match := _DECIMAL.match(name)):
         return T.DecimalType(int(match[1]), int(match[2]))
-    return DECLARED_TYPES.get(name.split("(")[0], T.StringType())
+    base = re.match(r"\w*", name)[0]
+    if "unsigned" in name.split() and base in UNSIGNED_TYPES:
+        return UNSIGNED_TYPES[base]
+    return DECLARED_TYPES.get(name, DECLARED_TYPES.get(base, T.StringType()))
 
 
 MONEY = T.DecimalType(29, 2)

@@ -14,11 +14,50 @@ from patronage.functions import channel_value, null_default, presence_flag, tota
 from patronage.model import CHANNELS, ReturnsChannel, SalesChannel
 
 FANOUT = "decimal(38,2)"
+#: A returned amount beyond this does not fit the feature table's money columns.
+MOST_RETURNED = "1" + "0" * 27
+
+
+# One builder per rule; the helpers below and the aggregates of the jobs use the same.
+
+
+def _kept(value: Column, where: Column | None) -> Column:
+    return value if where is None else F.when(where, value)
+
+
+def total(value: Column, where: Column | None = None) -> Column:
+    """``SUM``: nulls are skipped, and a group without any value gives null."""
+    return F.sum(_kept(value, where))
+
+
+def rows(where: Column | None = None) -> Column:
+    """``COUNT(*)`` of the rows that meet the condition."""
+    return F.count(_kept(F.lit(1), where))
+
+
+def values(value: Column, where: Column | None = None) -> Column:
+    """``COUNT`` of the values that are not null."""
+    return F.count(_kept(value, where))
+
+
+def different(value: Column, where: Column | None = None) -> Column:
+    """``COUNT(DISTINCT value)``, exact."""
+    return F.countDistinct(_kept(value, where))
+
+
+def has_any(value: Column, where: Column | None = None) -> Column:
+    """1 if any row has a value, else 0."""
+    return F.max(presence_flag(_kept(value, where)))
+
+
+def quotient(amount: Column, count: Column) -> Column:
+    """An average as one division of exact sums."""
+    return amount.cast("double") / count.cast("double")
 
 
 def sum_by(table: DataFrame, key: str, sums: dict[str, str]) -> DataFrame:
     """``SUM`` per key: nulls are skipped, a group of nulls gives null. ``sums``: alias -> column."""
-    return table.groupBy(key).agg(*[F.sum(column).alias(alias) for alias, column in sums.items()])
+    return table.groupBy(key).agg(*[total(F.col(column)).alias(alias) for alias, column in sums.items()])
 
 
 def sum_coalesced_by(table: DataFrame, key: str, sums: dict[str, str]) -> DataFrame:
@@ -26,7 +65,7 @@ def sum_coalesced_by(table: DataFrame, key: str, sums: dict[str, str]) -> DataFr
     types = {field.name: field.dataType for field in table.schema.fields}
     return table.groupBy(key).agg(
         *[
-            F.sum(null_default(F.col(column), types[column])).alias(alias)
+            total(null_default(F.col(column), types[column])).alias(alias)
             for alias, column in sums.items()
         ]
     )
@@ -34,26 +73,22 @@ def sum_coalesced_by(table: DataFrame, key: str, sums: dict[str, str]) -> DataFr
 
 def count_by(table: DataFrame, key: str, alias: str) -> DataFrame:
     """``COUNT(*)`` per key."""
-    return table.groupBy(key).agg(F.count(F.lit(1)).alias(alias))
+    return table.groupBy(key).agg(rows().alias(alias))
 
 
 def average_by(table: DataFrame, key: str, value: str, alias: str) -> DataFrame:
-    """``AVG`` per key over the non-null values, as one division of exact sums."""
-    return table.groupBy(key).agg(exact_average(F.col(value)).alias(alias))
+    """``AVG`` per key over the non-null values."""
+    return table.groupBy(key).agg(quotient(total(F.col(value)), values(F.col(value))).alias(alias))
 
 
 def distinct_by(table: DataFrame, key: str, value: str, alias: str) -> DataFrame:
     """``COUNT(DISTINCT value)`` per key, exact."""
-    return table.groupBy(key).agg(F.countDistinct(value).alias(alias))
-
-
-def exact_average(value: Column) -> Column:
-    return F.sum(value).cast("double") / F.count(value).cast("double")
+    return table.groupBy(key).agg(different(F.col(value)).alias(alias))
 
 
 def has_any_by(table: DataFrame, key: str, value: str, alias: str) -> DataFrame:
     """1 per key if any row has a value, else 0."""
-    return table.groupBy(key).agg(F.max(presence_flag(F.col(value))).alias(alias))
+    return table.groupBy(key).agg(has_any(F.col(value)).alias(alias))
 
 
 def left_join_totals(
@@ -98,10 +133,10 @@ def store_totals(
         dated.where(F.col(channel.customer).isNotNull())
         .groupBy(F.col(channel.customer).alias(customer_key))
         .agg(
-            F.sum(channel.price).alias("store_sales_amount"),
-            F.sum(channel.profit).alias("store_net_profit"),
-            F.sum(channel.quantity).alias("store_quantity"),
-            F.count(F.lit(1)).alias("store_transaction_count"),
+            total(F.col(channel.price)).alias("store_sales_amount"),
+            total(F.col(channel.profit)).alias("store_net_profit"),
+            total(F.col(channel.quantity)).alias("store_quantity"),
+            rows().alias("store_transaction_count"),
         )
     )
     return totals.join(customer.select(customer_key), customer_key, "left_semi")
@@ -109,23 +144,36 @@ def store_totals(
 
 def channel_pivot(sales: DataFrame, channels: tuple[str, ...] = CHANNELS) -> DataFrame:
     """Amount and row count per customer and channel, side by side."""
-    channel, price = F.col("channel"), F.col("price")
+    return sales.groupBy("customer_sk").agg(*pivoted(F.lit(True), channels))
+
+
+def pivoted(sale: Column, channels: tuple[str, ...] = CHANNELS) -> list[Column]:
+    """Amount and row count of the rows marked as sales, per channel; 0 where there are none."""
+    channel, price, one = F.col("channel"), F.col("price"), F.lit(1)
     columns = []
     for name in channels:
-        columns.append(F.sum(channel_value(channel, name, price)).alias(f"{name}_sales"))
-        columns.append(F.sum(channel_value(channel, name, F.lit(1))).alias(f"{name}_transactions"))
-    return sales.groupBy("customer_sk").agg(*columns)
+        amount = channel_value(channel, name, F.when(sale, price))
+        columns.append(total(amount).alias(f"{name}_sales"))
+        columns.append(
+            total(channel_value(channel, name, F.when(sale, one).otherwise(0))).alias(f"{name}_transactions")
+        )
+    return columns
 
 
-def return_totals(returns: DataFrame, channels: tuple[str, ...] = CHANNELS) -> DataFrame:
-    """Returned amount and row count per customer and channel, side by side."""
+def returned_columns(back: Column, channels: tuple[str, ...] = CHANNELS) -> list[Column]:
+    """Returned amount and row count of the rows marked as returns, per channel."""
     columns = []
     for name in channels:
-        here = F.col("channel") == name
-        columns.append(F.sum(F.when(here, F.col("return_amount"))).alias(f"{name}_returned"))
-        columns.append(F.count(F.when(here, F.lit(1))).alias(f"{name}_return_rows"))
+        here = back & (F.col("channel") == name)
+        columns.append(total(F.col("return_amount"), here).alias(f"{name}_returned"))
+        columns.append(rows(here).alias(f"{name}_return_rows"))
+    return columns
+
+
+def return_totals(returns: DataFrame, channels: tuple[str, ...] = CHANNELS) -> DataFrame:
+    """Returned amount and row count per customer and channel, side by side."""
     known = returns.where(F.col("customer_sk").isNotNull())
-    return known.groupBy("customer_sk").agg(*columns)
+    return known.groupBy("customer_sk").agg(*returned_columns(F.lit(True), channels))
 
 
 def per_channel_return(name: str) -> Column:
@@ -139,14 +187,19 @@ def joined_return(name: str, channels: tuple[str, ...] = CHANNELS) -> Column:
     Joining a customer to all three returns tables at once repeats each channel's rows once for
     every pair of rows of the others (an empty channel still leaves one row), so the sum is
     the channel's own sum times the other row counts. The product is taken here; the joined
-    rows never exist. A product beyond 36 digits fails the job under ANSI mode.
+    rows never exist. The product grows with the cube of a customer's returns: beyond 27 digits
+    before the point it does not fit the feature table, and the job fails, ANSI mode or not, with
+    the customer's key. ``per_channel`` has no such limit in practice.
     """
     value = per_channel_return(name)
     for other in channels:
         if other != name:
-            rows = F.greatest(F.coalesce(F.col(f"{other}_return_rows"), F.lit(0)), F.lit(1))
-            value = value * rows.cast("decimal(18,0)")
-    return value.cast(FANOUT)
+            count = F.greatest(F.coalesce(F.col(f"{other}_return_rows"), F.lit(0)), F.lit(1))
+            value = F.try_multiply(value, count.cast("decimal(18,0)")).try_cast(FANOUT)
+    reason = f" has joined returns in the {name} channel beyond 27 digits; use the mode per_channel"
+    refused = F.raise_error(F.concat(F.lit("customer "), F.col("customer_sk").cast("string"), F.lit(reason)))
+    fits = value.isNotNull() & (F.abs(value) < F.lit(MOST_RETURNED).cast("decimal(38,2)"))
+    return F.when(fits, value).otherwise(refused.cast(FANOUT))
 
 
 def returned_amounts(customer: DataFrame, customer_key: str, returns: DataFrame, mode: str) -> DataFrame:
@@ -168,21 +221,15 @@ def return_column(mode: str, name: str) -> Column:
 
 def analytics_totals(book: DataFrame) -> DataFrame:
     """All per-customer measures of the customer analytics query, from one pass over the ledger."""
-    columns = []
+    columns = returned_columns(F.col("is_return"))
     for name in CHANNELS:
         sold = F.col("is_sale") & (F.col("channel") == name)
-        back = F.col("is_return") & (F.col("channel") == name)
-        columns += [
-            F.sum(F.when(sold, F.col("price"))).alias(f"{name}_sales_amount"),
-            F.sum(F.when(sold, F.col("profit"))).alias(f"{name}_net_profit"),
-            F.sum(F.when(back, F.col("return_amount"))).alias(f"{name}_returned"),
-            F.count(F.when(back, F.lit(1))).alias(f"{name}_return_rows"),
-        ]
+        columns.append(total(F.col("price"), sold).alias(f"{name}_sales_amount"))
+        columns.append(total(F.col("profit"), sold).alias(f"{name}_net_profit"))
         if name == "store":
-            columns.append(F.count(F.when(sold, F.lit(1))).alias("store_transaction_count"))
+            columns.append(rows(sold).alias("store_transaction_count"))
         else:
-            item = F.when(sold, F.col("item_sk"))
-            columns.append(F.max(presence_flag(item)).alias(f"has_{name}_sales"))
+            columns.append(has_any(F.col("item_sk"), sold).alias(f"has_{name}_sales"))
     return book.where(F.col("customer_sk").isNotNull()).groupBy("customer_sk").agg(*columns)
 
 
@@ -193,30 +240,29 @@ def profile_totals(book: DataFrame) -> DataFrame:
     a customer with very many rows over several tasks. Totals over all channels are added up
     from the channels afterwards instead of being carried through both shuffles.
     """
-    sale, back, price = F.col("is_sale"), F.col("is_return"), F.col("price")
+    sale, back = F.col("is_sale"), F.col("is_return")
     columns = [
-        F.count(F.when(sale, price)).alias("priced_transactions"),
-        F.sum(F.when(sale, F.col("quantity"))).alias("total_items_purchased"),
-        F.countDistinct(F.when(sale, F.col("sale_date"))).alias("distinct_purchase_days"),
-        F.count(F.when(back, F.lit(1))).alias("total_returns"),
-        F.sum(F.when(back, F.col("return_amount"))).alias("total_return_amount"),
-        F.sum(F.when(back, F.col("return_quantity"))).alias("total_return_quantity"),
+        values(F.col("price"), sale).alias("priced_transactions"),
+        total(F.col("quantity"), sale).alias("total_items_purchased"),
+        different(F.col("sale_date"), sale).alias("distinct_purchase_days"),
+        rows(back).alias("total_returns"),
+        total(F.col("return_amount"), back).alias("total_return_amount"),
+        total(F.col("return_quantity"), back).alias("total_return_quantity"),
+        *pivoted(sale),
     ]
-    for name in CHANNELS:
-        here = sale & (F.col("channel") == name)
-        columns.append(F.sum(F.when(here, price)).alias(f"{name}_sales"))
-        columns.append(F.count(F.when(here, F.lit(1))).alias(f"{name}_transactions"))
     totals = book.where(F.col("customer_sk").isNotNull()).groupBy("customer_sk").agg(*columns)
+    priced = F.col("priced_transactions") > 0
     amount = totals.schema["store_sales"].dataType
-    any_price = F.coalesce(*[F.col(f"{name}_sales") for name in CHANNELS]).isNotNull()
     sold = total_of(*[null_default(F.col(f"{name}_sales"), amount) for name in CHANNELS])
-    average = F.col("total_sales_amount").cast("double") / F.col("priced_transactions").cast("double")
     return (
         totals.withColumn(
             "total_transactions", total_of(*[F.col(f"{name}_transactions") for name in CHANNELS])
         )
-        .withColumn("total_sales_amount", F.when(any_price, sold))
-        .withColumn("avg_transaction_value", F.when(any_price, average))
+        .withColumn("total_sales_amount", F.when(priced, sold))
+        .withColumn(
+            "avg_transaction_value",
+            F.when(priced, quotient(F.col("total_sales_amount"), F.col("priced_transactions"))),
+        )
         .drop("priced_transactions")
     )
 

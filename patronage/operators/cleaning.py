@@ -32,17 +32,27 @@ def drop_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def to_int(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Cast to int, cutting off fractions; a null or a text that is no number fails the job."""
+    """Cast to int, cutting off fractions.
+
+    A null, a text that is no number or a number beyond int fails the job, ANSI mode or not.
+    """
     casts = {}
     for name in columns:
-        no_null = F.raise_error(F.lit(f"cannot cast null in {name} to int")).cast("int")
-        casts[name] = F.coalesce(F.col(name).cast("int"), no_null)
+        refused = F.raise_error(F.lit(f"cannot cast null in {name} to int, or a value beyond it"))
+        casts[name] = F.coalesce(F.col(name).try_cast("int"), refused.cast("int"))
     return df.withColumns(casts)
 
 
 def add_date(df: DataFrame, alias: str, year: str, month: str, day: str) -> DataFrame:
-    """Date from its parts; parts that are no calendar date fail the job under ANSI mode."""
-    return df.withColumn(alias, F.make_date(F.col(year), F.col(month), F.col(day)))
+    """Date from its parts; a missing part gives null.
+
+    Parts that are no calendar date fail the job, ANSI mode or not.
+    """
+    parts = [F.col(name) for name in (year, month, day)]
+    text = F.format_string("%04d-%02d-%02d", *parts)
+    refused = F.raise_error(F.concat(F.lit("no calendar date: "), text)).cast("date")
+    known = parts[0].isNotNull() & parts[1].isNotNull() & parts[2].isNotNull()
+    return df.withColumn(alias, F.when(known, F.coalesce(text.try_cast("date"), refused)))
 
 
 def move_column(df: DataFrame, name: str, position: int) -> DataFrame:

@@ -4,14 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from patronage.operators.lookups import fits_broadcast, lookup_join
-from patronage.session import scratch_path
-
-FEW_LABELS = 200
+from patronage.operators.lookups import BROADCAST_BUDGET, fits_broadcast, lookup_join
 
 
 def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
@@ -68,21 +65,24 @@ def label_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def rank_labels(pairs: DataFrame) -> DataFrame:
+def rank_labels(pairs: DataFrame, scratch: str) -> DataFrame:
     """(column, value, code) with codes counting from 0 in value order within each column.
 
-    For any number of labels: values are range-partitioned and written out, so that partition
-    borders cannot move; a value's code is its rank inside its partition plus the label counts of
-    the partitions before.
+    For any number of labels: the distinct pairs are written once, then range-partitioned and
+    written again, so that partition borders cannot move; a value's code is its rank inside its
+    partition plus the label counts of the partitions before. NaN ranks after all numbers.
+    ``scratch`` is an unused folder for these tables; the result reads it.
     """
     spark = pairs.sparkSession
-    path = scratch_path(spark, "labels")
+    pairs.write.parquet(f"{scratch}/pairs")
     (
-        pairs.repartitionByRange("column", "value")
+        spark.read.schema(pairs.schema)
+        .parquet(f"{scratch}/pairs")
+        .repartitionByRange("column", "value")
         .withColumn("block", F.spark_partition_id())
-        .write.parquet(path)
+        .write.parquet(f"{scratch}/placed")
     )
-    placed = spark.read.parquet(path)
+    placed = spark.read.parquet(f"{scratch}/placed")
     in_block = Window.partitionBy("column", "block").orderBy("value")
     before = Window.partitionBy("column").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -92,90 +92,61 @@ def rank_labels(pairs: DataFrame) -> DataFrame:
     )
     ranked = placed.withColumn("rank", F.row_number().over(in_block) - 1)
     code = (F.col("rank") + F.col("offset")).cast("int").alias("code")
-    return ranked.join(offsets, ["column", "block"]).select("column", "value", code)
-
-
-def few_labels(pairs: DataFrame, at_most: int) -> dict[str, list] | None:
-    """Sorted labels of each column, or None if there are more than ``at_most`` in all."""
-    probe = pairs.limit(at_most + 1).collect()
-    if len(probe) > at_most:
-        return None
-    labels: dict[str, list] = {}
-    for name, value in sorted((pair["column"], pair["value"]) for pair in probe):
-        labels.setdefault(name, []).append(value)
-    return labels
+    codes = ranked.join(offsets, ["column", "block"]).select("column", "value", code)
+    codes.write.parquet(f"{scratch}/codes")
+    return spark.read.schema(codes.schema).parquet(f"{scratch}/codes")
 
 
-def label_map(df: DataFrame, columns: Sequence[str], few: int = FEW_LABELS) -> DataFrame:
+def label_map(df: DataFrame, columns: Sequence[str], scratch: str) -> DataFrame:
     """(column, value, code) of columns of one type, codes as in :func:`label_encode`."""
-    pairs = label_pairs(df, columns)
-    labels = few_labels(pairs, few)
-    if labels is None:
-        return rank_labels(pairs)
-    rows = [
-        (name, value, code) for name, values in labels.items() for code, value in enumerate(values)
-    ]
-    schema = T.StructType(
-        [
-            T.StructField("column", T.StringType()),
-            T.StructField("value", df.schema[columns[0]].dataType),
-            T.StructField("code", T.IntegerType()),
-        ]
-    )
-    return df.sparkSession.createDataFrame(rows, schema)
+    return rank_labels(label_pairs(df, columns), scratch)
 
 
 def label_encode(
     df: DataFrame,
     columns: Sequence[str],
+    scratch: str,
     fit_on: DataFrame | None = None,
-    few: int = FEW_LABELS,
+    budget: int = BROADCAST_BUDGET,
 ) -> DataFrame:
     """Replace each value by its rank among the column's sorted distinct values, from 0.
 
-    A missing value gets the code after the last. ``fit_on`` may name another frame with the
-    same set of values, such as a stored copy. Up to ``few`` labels are looked up in a literal
-    list without any join; more are joined to.
+    A missing value gets the code after the last. NaN is a value like any other, the last one.
+    ``fit_on`` may name another frame to take the labels from; a value it lacks fails the job.
+    The labels are found in one pass over ``fit_on``, ranked whatever their number, and joined to;
+    a column's map is broadcast if it measures up to ``budget`` bytes. ``scratch`` is an unused
+    folder for the maps, which the result reads.
     """
-    source = df if fit_on is None else fit_on
     by_type: dict[T.DataType, list[str]] = {}
     for name in columns:
         by_type.setdefault(df.schema[name].dataType, []).append(name)
     encoded = df
-    for dtype, names in by_type.items():
-        pairs = label_pairs(source, names)
-        labels = few_labels(pairs, few)
-        if labels is None:
-            encoded = _encode_by_join(encoded, names, pairs)
-        else:
-            codes = {name: _listed_code(name, labels.get(name, []), dtype) for name in names}
-            encoded = encoded.withColumns(codes)
+    for number, names in enumerate(by_type.values()):
+        codes = label_map(df if fit_on is None else fit_on, names, f"{scratch}/labels{number}")
+        encoded = _encode_by_join(encoded, names, codes, budget)
     return encoded.select(df.columns)
 
 
-def _listed_code(name: str, values: list, dtype: T.DataType) -> Column:
-    missing = F.lit(len(values))
-    if not values:
-        return missing
-    listed = F.array(*[F.lit(value).cast(dtype) for value in values])
-    return F.coalesce(F.array_position(listed, F.col(name)).cast("int") - 1, missing)
-
-
-def _encode_by_join(df: DataFrame, names: Sequence[str], pairs: DataFrame) -> DataFrame:
-    path = scratch_path(df.sparkSession, "label_map")
-    rank_labels(pairs).write.parquet(path)
-    ranked = df.sparkSession.read.parquet(path)
-    counts = dict(ranked.groupBy("column").agg(F.count(F.lit(1))).collect())
+def _encode_by_join(
+    df: DataFrame, names: Sequence[str], codes: DataFrame, budget: int
+) -> DataFrame:
+    counts = dict(codes.groupBy("column").agg(F.count(F.lit(1))).collect())
     maps = {
-        name: ranked.where(F.col("column") == name).select(
+        name: codes.where(F.col("column") == name).select(
             F.col("value").alias(f"{name}_label"), F.col("code").alias(f"{name}_label_code")
         )
         for name in names
     }
-    fits = fits_broadcast(maps)
+    fits = fits_broadcast(maps, budget)
     for name in names:
         label, code = f"{name}_label", f"{name}_label_code"
         joined = lookup_join(df, maps[name], name, label, "left", fits[name])
-        found = F.coalesce(F.col(code), F.lit(counts.get(name, 0))).cast("int")
-        df = joined.withColumn(name, found).drop(label, code)
+        value = F.col(name)
+        unseen = F.concat(F.lit(f"unseen label in {name}: "), value.cast("string"))
+        found = (
+            F.when(value.isNull(), F.lit(counts.get(name, 0)))
+            .when(F.col(code).isNotNull(), F.col(code))
+            .otherwise(F.raise_error(unseen).cast("int"))
+        )
+        df = joined.withColumn(name, found.cast("int")).drop(label, code)
     return df

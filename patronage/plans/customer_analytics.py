@@ -46,7 +46,7 @@ def store_customer_totals(star: Star, returns_mode: str) -> DataFrame:
     return channel_totals(totals, returns_mode)
 
 
-def customer_analytics(star: Star, returns_mode: str = "joined", ordered: bool = True) -> DataFrame:
+def customer_analytics(star: Star, returns_mode: str, ordered: bool = True) -> DataFrame:
     """The 33 feature columns, largest total sales first.
 
     ``returns_mode="joined"`` gives returned amounts as the original statement computes them:

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 
 from patronage.operators.cleaning import distinct_rows, drop_columns, drop_null_in
 from patronage.operators.features import label_encode, numeric_columns, standard_scale
-from patronage.session import scratch_path
 
 # The column roles of the feature table.
 DROPPED = ("hd_demo_sk", "ca_city", "ca_country", "ca_state")
@@ -45,17 +44,19 @@ def clean_features(features: DataFrame) -> DataFrame:
 
 def feature_step(
     features: DataFrame,
+    scratch: str,
     encoded: Sequence[str] = ENCODED,
     unscaled: Sequence[str] = UNSCALED,
 ) -> DataFrame:
     """Scale every numeric column not in ``unscaled`` and encode the ``encoded`` ones.
 
-    The cleaned rows are written once to the shared folder. The statistics, the labels and
-    the result then each read only the columns they need, and none repeats the clean-up.
+    The cleaned rows are written once below ``scratch``, an unused folder that all executors
+    share; the statistics, the labels and the result then each read only the columns they need,
+    and none repeats the clean-up. The result reads ``scratch`` too: remove it once the result
+    has been written, as :func:`patronage.session.run_folder` does.
     """
-    spark = features.sparkSession
-    path = scratch_path(spark, "clean_features")
-    clean_features(features).write.parquet(path)
-    clean = spark.read.parquet(path)
+    cleaned = clean_features(features)
+    cleaned.write.parquet(f"{scratch}/clean")
+    clean = features.sparkSession.read.schema(cleaned.schema).parquet(f"{scratch}/clean")
     scaled = standard_scale(clean, numeric_columns(clean, exclude=(*unscaled, *encoded)))
-    return label_encode(scaled, encoded, fit_on=clean)
+    return label_encode(scaled, encoded, scratch, fit_on=clean)

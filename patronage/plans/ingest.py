@@ -65,15 +65,20 @@ def ingest_jdbc(
     keys: Mapping[str, str] | None = None,
     policy: str = "source",
     at_once: int = 1,
+    partitions: int | None = None,
+    by_hash: Sequence[str] = (),
 ) -> DataFrame:
     """Copy the named tables of a database, or all of them, under their stored types.
 
-    ``keys`` names an integer column per table to split the read by.
+    ``keys`` names an integer column per table to split the read by, where that is not the
+    primary key; tables in ``by_hash`` are split by a hash of all columns. ``partitions`` is the
+    number of reads per table.
     """
     chosen = _checked(tables, database.list_tables())
 
     def read(name: str) -> DataFrame:
-        table = database.read_table(name, key=(keys or {}).get(name))
+        key = (keys or {}).get(name)
+        table = database.read_table(name, key, partitions, by_hash=name in by_hash)
         return parquet.typed_cast(table, database.declared_schema(name), policy)
 
     return ingest(database.spark, read, chosen, base, at_once)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from patronage.model import RETURNS_CHANNELS, SALES_CHANNELS
 from patronage.operators.channels import ledger, union_returns, union_sales
-from patronage.operators.lookups import fits_broadcast
+from patronage.operators.lookups import BROADCAST_BUDGET, fits_broadcast
 from patronage.sources.parquet import read_table
 
 DIMENSIONS = (
@@ -37,6 +37,8 @@ class Star:
     customer_address: DataFrame
     date_dim: DataFrame
     ledger: DataFrame
+    #: Bytes up to which a dimension is broadcast.
+    broadcast_budget: int = BROADCAST_BUDGET
 
     _measured: dict[str, bool] = field(default_factory=dict, init=False, repr=False)
 
@@ -54,17 +56,25 @@ class Star:
         }
         new = {name: sized[name] for name in names if name not in self._measured}
         if new:
-            self._measured.update(fits_broadcast(new))
+            self._measured.update(fits_broadcast(new, self.broadcast_budget))
         return {name: self._measured[name] for name in names}
 
 
-def star_from_tables(tables: Mapping[str, DataFrame]) -> Star:
+FACTS = tuple(channel.table for channel in (*SALES_CHANNELS, *RETURNS_CHANNELS))
+
+
+def star_from_tables(
+    tables: Mapping[str, DataFrame], broadcast_budget: int = BROADCAST_BUDGET
+) -> Star:
     """Star over three sales tables, three returns tables and the dimensions."""
     book = ledger(union_sales(tables), union_returns(tables))
-    return Star(ledger=book, **{name: tables[name] for name in DIMENSIONS})
+    dimensions = {name: tables[name] for name in DIMENSIONS}
+    return Star(ledger=book, broadcast_budget=broadcast_budget, **dimensions)
 
 
-def star_from_parquet(spark: SparkSession, base: str) -> Star:
+def star_from_parquet(
+    spark: SparkSession, base: str, broadcast_budget: int = BROADCAST_BUDGET
+) -> Star:
     """Star over tables that :func:`patronage.plans.ingest.ingest` has written."""
-    facts = [channel.table for channel in (*SALES_CHANNELS, *RETURNS_CHANNELS)]
-    return star_from_tables({name: read_table(spark, base, name) for name in (*DIMENSIONS, *facts)})
+    tables = {name: read_table(spark, base, name) for name in (*DIMENSIONS, *FACTS)}
+    return star_from_tables(tables, broadcast_budget)

@@ -1,9 +1,10 @@
-"""Session settings and the shared scratch folder."""
+"""Session settings, the shared folder, and run folders that a job removes when it is done."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -31,19 +32,29 @@ def local_session(cores: str | int = "*", app_name: str = "patronage") -> SparkS
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session falls back to a temporary folder; on a cluster a missing
-    setting is an error, because executors could not read each other's files.
+    There is no default: executors could not read each other's files in a folder of one machine.
     """
-    context = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if configured:
-        return configured
-    if not context.master.startswith("local"):
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="patronage-"))
-    return context.getCheckpointDir()
+    return folder.rstrip("/")
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """Fresh path below the shared folder, never used before."""
-    return f"{shared_dir(spark).rstrip('/')}/patronage/{uuid.uuid4().hex}/{name}"
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system that holds ``path``, and the path in its terms."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+@contextmanager
+def run_folder(spark: SparkSession, base: str | None = None) -> Iterator[str]:
+    """A fresh folder below ``base``, or the shared folder, for one job's intermediate tables.
+
+    It is removed at the end, so whatever reads it must have been written by then.
+    """
+    folder = f"{(base or shared_dir(spark)).rstrip('/')}/patronage-{uuid.uuid4().hex}"
+    try:
+        yield folder
+    finally:
+        system, path = file_system(spark, folder)
+        system.delete(path, True)

@@ -21,6 +21,11 @@ def typed_features(df: DataFrame, schema: T.StructType = FEATURE_TABLE) -> DataF
     return df.select(*columns)
 
 
+def write_features(df: DataFrame, path: str, schema: T.StructType = FEATURE_TABLE) -> None:
+    """Replace the Parquet table at ``path`` with the typed columns of ``df``."""
+    typed_features(df, schema).write.mode("overwrite").parquet(path)
+
+
 def save_features(df: DataFrame, table: str, schema: T.StructType = FEATURE_TABLE) -> None:
     """Replace the catalog table with the typed columns of ``df``."""
     typed_features(df, schema).write.mode("overwrite").format("parquet").saveAsTable(table)

@@ -13,6 +13,12 @@ from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 
 FETCH_SIZE = 10_000
 
+# Driver settings under which a year is a number, not a date, and tinyint(1) keeps
+# values other than 0 and 1.
+DRIVER_SETTINGS = {"yearIsDateType": "false", "tinyInt1isBit": "false"}
+
+INTEGER_TYPES = ("tinyint", "smallint", "mediumint", "int", "bigint")
+
 
 def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
@@ -40,17 +46,25 @@ def range_predicates(
     """Conditions that deal every row to exactly one read, by ranges of an integer key.
 
     ``rows`` counts the rows of range number ``(key - low) DIV width``, and of None for rows
-    without a key. A range with more than ``most`` rows is dealt out further by hash.
+    without a key. Counted ranges only place the borders: the first range is open below, the last
+    open above, and each ends where the next starts, so rows that arrive after the count are read
+    too, wherever they fall. A range with more than ``most`` rows is dealt out further by hash.
     """
-    predicates = []
     column = quoted(key)
-    for number, count in sorted(rows.items(), key=lambda item: (item[0] is not None, item[0])):
-        if number is None:
-            inside = f"{column} IS NULL"
-        else:
-            start = low + number * width
-            inside = f"{column} >= {start} AND {column} < {start + width}"
-        shares = -(-count // most)
+    held = sorted(number for number, count in rows.items() if number is not None and count)
+    borders = [low + number * width for number in held[1:]]
+    ranges = [(f"{column} IS NULL", rows.get(None, 0))]
+    for i in range(len(borders) + 1):
+        limits = []
+        if i > 0:
+            limits.append(f"{column} >= {borders[i - 1]}")
+        if i < len(borders):
+            limits.append(f"{column} < {borders[i]}")
+        inside = " AND ".join(limits) or f"{column} IS NOT NULL"
+        ranges.append((inside, rows[held[i]] if held else 0))
+    predicates = []
+    for inside, count in ranges:
+        shares = max(1, -(-count // most))
         if shares == 1:
             predicates.append(inside)
         else:
@@ -68,9 +82,13 @@ class JdbcDatabase:
     properties: Mapping[str, str] = field(default_factory=dict)
     fetch_size: int = FETCH_SIZE
 
+    def _options(self) -> dict[str, str]:
+        """Times are read as the plain date and time they are stored as, without any zone."""
+        fixed = {"fetchsize": str(self.fetch_size), "preferTimestampNTZ": "true"}
+        return {**DRIVER_SETTINGS, **self.properties, **fixed}
+
     def _reader(self) -> DataFrameReader:
-        options = {**self.properties, "url": self.url, "fetchsize": str(self.fetch_size)}
-        return self.spark.read.format("jdbc").options(**options)
+        return self.spark.read.format("jdbc").options(**self._options(), url=self.url)
 
     def query(self, sql: str) -> DataFrame:
         """Result of a statement the database runs itself."""
@@ -85,44 +103,65 @@ class JdbcDatabase:
         return sorted(row["table_name"] for row in rows)
 
     def declared_schema(self, table: str) -> list[tuple[str, str]]:
-        """(column, declared type) in column order; decimals with precision and scale."""
+        """(column, declared type) in column order; decimals with precision and scale, and
+        ``unsigned`` where declared so."""
         rows = self.query(
             "SELECT ordinal_position AS position, column_name AS name, data_type AS type, "
-            "numeric_precision AS digits, numeric_scale AS decimals "
-            "FROM information_schema.columns "
-            f"WHERE table_schema = '{self._literal(self.database)}' "
-            f"AND table_name = '{self._literal(table)}'"
+            "column_type AS full_type, numeric_precision AS digits, numeric_scale AS decimals "
+            f"FROM information_schema.columns WHERE {self._of(table)}"
         ).collect()
         if not rows:
             raise ValueError(f"no schema found for table {table!r}")
         columns = []
         for row in sorted(rows, key=lambda row: row["position"]):
-            declared = row["type"].lower()
+            declared, full = row["type"].lower(), row["full_type"].lower()
             if declared == "decimal":
                 declared = f"decimal({row['digits']},{row['decimals']})"
+            elif declared == "bit":
+                declared = full
+            if "unsigned" in full.split():
+                declared += " unsigned"
             columns.append((row["name"], declared))
         return columns
 
+    def primary_key(self, table: str) -> str | None:
+        """First column of the table's primary key."""
+        rows = self.query(
+            "SELECT column_name AS name FROM information_schema.statistics "
+            f"WHERE {self._of(table)} AND index_name = 'PRIMARY' AND seq_in_index = 1"
+        ).collect()
+        return rows[0]["name"] if rows else None
+
     def read_table(
-        self, table: str, key: str | None = None, partitions: int | None = None
+        self,
+        table: str,
+        key: str | None = None,
+        partitions: int | None = None,
+        by_hash: bool = False,
     ) -> DataFrame:
-        """The whole table, in about as many even reads as there are partitions.
+        """The whole table, in about as many even reads as ``partitions``, or cores.
 
-        With an integer ``key``, best an indexed one, each read asks for a range of it; ranges
-        the source has counted as too full are split. Without a key, rows are dealt out by a hash
-        of all columns, for which the source scans the table once per read.
+        Each read asks for a range of an integer ``key``, by default the first column of the
+        primary key; ranges the source has counted as too full are split. ``by_hash`` deals rows
+        out by a hash of all columns instead, for which the source scans the table once per read;
+        a table without an integer key needs it.
         """
-        columns = [name for name, _ in self.declared_schema(table)]
+        declared = dict(self.declared_schema(table))
+        columns = list(declared)
         reads = partitions or self.spark.sparkContext.defaultParallelism
-        if key is None:
+        if by_hash:
             predicates = hash_predicates(columns, reads)
-        elif key in columns:
-            predicates = self._key_predicates(table, key, reads, columns)
         else:
-            raise ValueError(f"table {table!r} has no column {key!r}")
-        options = {**self.properties, "fetchsize": str(self.fetch_size)}
+            if key is not None and key not in columns:
+                raise ValueError(f"table {table!r} has no column {key!r}")
+            key = key or self.primary_key(table)
+            if key is None or declared[key].split()[0] not in INTEGER_TYPES:
+                raise ValueError(
+                    f"table {table!r} has no integer key to split by ({key}): name one, or read by hash"
+                )
+            predicates = self._key_predicates(table, key, reads, columns)
         return self.spark.read.jdbc(
-            self.url, quoted(table), predicates=predicates, properties=options
+            self.url, quoted(table), predicates=predicates, properties=self._options()
         )
 
     def _key_predicates(
@@ -139,7 +178,11 @@ class JdbcDatabase:
         ).collect()
         rows = {None if number is None else int(number): held for number, held in counted}
         most = max(1, -(-sum(rows.values()) // reads))
-        return range_predicates(key, low, width, rows, columns, most) or ["1 = 0"]
+        return range_predicates(key, low, width, rows, columns, most)
+
+    def _of(self, table: str) -> str:
+        database = self._literal(self.database)
+        return f"table_schema = '{database}' AND table_name = '{self._literal(table)}'"
 
     @staticmethod
     def _literal(text: str) -> str:

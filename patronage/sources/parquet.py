@@ -13,14 +13,27 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from patronage.model import stored_type
+from patronage.session import file_system
 
-_NAME = re.compile(r"[A-Za-z0-9_$]+")
+_SUFFIX = ".parquet"
+_PLAIN = re.compile(r"[A-Za-z0-9_$-]")
+_CODED = re.compile(r"=([0-9a-f]+)=")
+
+
+def file_name(table: str) -> str:
+    """File name of a table of any name: characters with a meaning in paths stand as ``=hex=``."""
+    if not table:
+        raise ValueError("a table name is empty")
+    return "".join(c if _PLAIN.match(c) else f"={ord(c):x}=" for c in table) + _SUFFIX
+
+
+def table_name(file: str) -> str:
+    """The inverse of :func:`file_name`; other names stand for themselves."""
+    return _CODED.sub(lambda code: chr(int(code[1], 16)), file.removesuffix(_SUFFIX))
 
 
 def table_path(base: str, name: str) -> str:
-    if not _NAME.fullmatch(name):
-        raise ValueError(f"not a table name: {name!r}")
-    return f"{base.rstrip('/')}/{name}.parquet"
+    return f"{base.rstrip('/')}/{file_name(name)}"
 
 
 def read_table(
@@ -35,16 +48,10 @@ def read_table(
 
 
 def list_tables(spark: SparkSession, base: str) -> list[str]:
-    """Names of the tables below ``base``, in order. Spark lists the files; none is opened."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.parquet")
-        .load(base)
-        .select(F.regexp_extract("path", r"([^/]+)\.parquet(?:/|$)", 1).alias("name"))
-    )
-    names = files.distinct().orderBy("name").collect()
-    return [row["name"] for row in names]
+    """Names of the tables right below ``base``, in order; nothing below them is listed."""
+    system, path = file_system(spark, base)
+    names = [status.getPath().getName() for status in system.listStatus(path)]
+    return sorted(table_name(name) for name in names if name.endswith(_SUFFIX))
 
 
 def declared_schema(df: DataFrame) -> list[tuple[str, str]]:
@@ -65,23 +72,22 @@ def table_counts(spark: SparkSession, base: str) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
-def table_schemas(spark: SparkSession, base: str) -> DataFrame:
-    """(table_name, position, column_name, data_type, row_count) of every table below ``base``."""
-    tables = []
-    for name in list_tables(spark, base):
-        table = read_table(spark, base, name)
-        columns = [
-            F.struct(
-                F.lit(position).alias("position"),
-                F.lit(column).alias("column_name"),
-                F.lit(data_type).alias("data_type"),
-            )
-            for position, (column, data_type) in enumerate(declared_schema(table), start=1)
-        ]
-        counted = table.agg(F.count(F.lit(1)).alias("row_count"))
-        described = counted.select("row_count", F.explode(F.array(*columns)).alias("field"))
-        tables.append(described.select(F.lit(name).alias("table_name"), "field.*", "row_count"))
-    return reduce(DataFrame.unionByName, tables)
+def table_schemas(spark: SparkSession, base: str, counted: bool = False) -> DataFrame:
+    """(table_name, position, column_name, data_type) of every table below ``base``.
+
+    ``counted`` adds ``row_count``, for which every table is scanned.
+    """
+    rows = [
+        (name, position, column, data_type)
+        for name in list_tables(spark, base)
+        for position, (column, data_type) in enumerate(
+            declared_schema(read_table(spark, base, name)), start=1
+        )
+    ]
+    described = spark.createDataFrame(
+        rows, "table_name string, position int, column_name string, data_type string"
+    )
+    return described.join(table_counts(spark, base), "table_name") if counted else described
 
 
 def typed_cast(
@@ -93,7 +99,10 @@ def typed_cast(
     """
     columns = []
     for name, type_name in declared:
-        value = F.col(name).cast(stored_type(type_name, policy))
+        value, stored = F.col(name), stored_type(type_name, policy)
+        if isinstance(df.schema[name].dataType, T.DateType) and isinstance(stored, T.IntegerType):
+            value = F.year(value)  # a driver may deliver a year as a date
+        value = value.cast(stored)
         if type_name.strip().lower().startswith("datetime"):
             seconds = F.extract(F.lit("SECOND"), value) % F.lit(0.001).cast("decimal(6,6)")
             value = value - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)

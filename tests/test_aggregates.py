@@ -3,6 +3,7 @@ from decimal import Decimal
 from itertools import product
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from patronage.model import CHANNELS, STORE_SALES
@@ -67,6 +68,23 @@ def test_joined_returns_against_brute_force(spark):
             assert row[f"{channel}_return_amount"] == expected
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_joined_returns_beyond_the_limit_name_the_customer(spark, ansi):
+    amount, many = Decimal("10") ** 12, 10**8
+    totals = [(k, *(x for _ in CHANNELS for x in (amount, n))) for k, n in ((4, many), (5, 3))]
+    kinds = ", ".join(f"{c}_returned decimal(22,2), {c}_return_rows long" for c in CHANNELS)
+    df = spark.createDataFrame(totals, f"customer_sk int, {kinds}")
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        few = df.where("customer_sk = 5").select(agg.joined_return("web").alias("x"))
+        assert few.first()["x"] == 9 * amount
+        with pytest.raises(PySparkException, match="customer 4 has joined returns in the web channel"):
+            df.select(agg.joined_return("web")).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
 def test_unknown_returns_mode():
     with pytest.raises(ValueError, match="returns mode"):
         agg.return_column("both", "web")

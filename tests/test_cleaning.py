@@ -29,20 +29,28 @@ def test_to_int_cuts_fractions(spark):
     assert [r["x"] for r in cleaning.to_int(df, ["x"]).collect()] == [3, -3]
 
 
-def test_to_int_refuses_nulls_and_text(spark):
+@pytest.fixture(params=["true", "false"])
+def ansi(spark, request):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", request.param)
+    yield
+    spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_to_int_refuses_nulls_text_and_large_numbers(spark, ansi):
     nulls = spark.createDataFrame([(None,)], "x double")
     with pytest.raises(PySparkException, match="cannot cast null in x"):
         cleaning.to_int(nulls, ["x"]).collect()
-    text = spark.createDataFrame([("abc",)], "x string")
-    with pytest.raises(PySparkException):
-        cleaning.to_int(text, ["x"]).collect()
+    for values, kind in (("abc", "string"), (3e9, "double"), (2**40, "long")):
+        with pytest.raises(PySparkException):
+            cleaning.to_int(spark.createDataFrame([(values,)], f"x {kind}"), ["x"]).collect()
 
 
-def test_add_date(spark):
-    df = spark.createDataFrame([(1984, 2, 29)], "y int, m int, d int")
-    assert cleaning.add_date(df, "born", "y", "m", "d").first()["born"] == date(1984, 2, 29)
+def test_add_date(spark, ansi):
+    df = spark.createDataFrame([(1984, 2, 29), (1984, None, 29)], "y int, m int, d int")
+    assert [r["born"] for r in cleaning.add_date(df, "born", "y", "m", "d").collect()] == [date(1984, 2, 29), None]
     bad = spark.createDataFrame([(1985, 2, 30)], "y int, m int, d int")
-    with pytest.raises(PySparkException):
+    with pytest.raises(PySparkException, match="no calendar date: 1985-02-30"):
         cleaning.add_date(bad, "born", "y", "m", "d").collect()
 
 

@@ -2,6 +2,7 @@ import math
 from decimal import Decimal
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from patronage.operators import features
@@ -37,11 +38,16 @@ def test_scaling_against_plain_python(spark):
         assert row["x"] == pytest.approx((values[row["i"]] - mean) / std, abs=1e-9)
 
 
-@pytest.mark.parametrize("few", [200, 0])
-def test_codes_follow_binary_order_with_missing_last(spark, few):
+@pytest.fixture
+def scratch(tmp_path):
+    return f"{tmp_path}/labels"
+
+
+@pytest.mark.parametrize("budget", [0, 1 << 20])
+def test_codes_follow_binary_order_with_missing_last(spark, scratch, budget):
     labels = ["b", "B", "a", None, "é", "z", "", "a"]
     df = spark.createDataFrame([(v, i) for i, v in enumerate(labels)], WORDS)
-    out = features.label_encode(df, ["w"], few=few)
+    out = features.label_encode(df, ["w"], scratch, budget=budget)
     assert out.columns == ["w", "n"]
     codes = {r["n"]: r["w"] for r in out.collect()}
     order = sorted({v for v in labels if v is not None})
@@ -50,20 +56,43 @@ def test_codes_follow_binary_order_with_missing_last(spark, few):
     }
 
 
-@pytest.mark.parametrize("few", [200, 0])
-def test_column_without_any_label(spark, few):
+def test_column_without_any_label(spark, scratch):
     df = spark.createDataFrame([(None, 1), (None, 2)], WORDS)
-    assert [r["w"] for r in features.label_encode(df, ["w"], few=few).collect()] == [0, 0]
+    assert [r["w"] for r in features.label_encode(df, ["w"], scratch).collect()] == [0, 0]
 
 
-@pytest.mark.parametrize("few", [200, 0])
-def test_numbers_are_ranked_as_numbers(spark, few):
+def test_numbers_are_ranked_as_numbers(spark, scratch):
     df = spark.createDataFrame([("x", 10), ("y", 9), ("x", 100)], WORDS)
-    rows = features.label_encode(df, ["n", "w"], few=few).collect()
+    rows = features.label_encode(df, ["n", "w"], scratch).collect()
     assert sorted((r["n"], r["w"]) for r in rows) == [(0, 1), (1, 0), (2, 0)]
 
 
-def test_many_labels_are_ranked_over_several_blocks(spark):
+@pytest.mark.parametrize("budget", [0, 1 << 20])
+def test_nan_is_the_last_value_and_null_comes_after(spark, scratch, budget):
+    values = [math.nan, 1.0, 2.0, 0.5, None, -0.0, 0.0]
+    df = spark.createDataFrame(list(enumerate(values)), "i int, x double")
+    rows = features.label_encode(df, ["x"], scratch, budget=budget).collect()
+    assert [r["x"] for r in sorted(rows)] == [4, 2, 3, 1, 5, 0, 0]
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize("budget", [0, 1 << 20])
+def test_unseen_values_fail(spark, scratch, budget, ansi):
+    known = spark.createDataFrame([("a", 1), ("b", 1)], WORDS)
+    df = spark.createDataFrame([("a", 1), (None, 2)], WORDS)
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        rows = features.label_encode(df, ["w"], f"{scratch}/a", fit_on=known, budget=budget).collect()
+        assert [r["w"] for r in rows] == [0, 2]
+        strange = df.unionAll(spark.createDataFrame([("zz", 3)], WORDS))
+        with pytest.raises(PySparkException, match="unseen label in w: zz"):
+            features.label_encode(strange, ["w"], f"{scratch}/b", fit_on=known, budget=budget).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_many_labels_are_ranked_over_several_blocks(spark, scratch):
     """20,000 labels in one column, a third of all rows under one label, next to a small column."""
     hot = F.when(F.col("id") % 3 == 0, "w7").otherwise(
         F.concat(F.lit("w"), (F.col("id") % 20_000).cast("string"))
@@ -72,12 +101,12 @@ def test_many_labels_are_ranked_over_several_blocks(spark):
         "id", hot.alias("many"), F.concat(F.lit("k"), F.col("id") % 3).alias("three")
     )
     names = sorted({"w7" if i % 3 == 0 else f"w{i % 20_000}" for i in range(60_000)})
-    ranked = features.label_map(df, ["many", "three"])
+    ranked = features.label_map(df, ["many", "three"], f"{scratch}/map")
     got = {(r["column"], r["value"]): r["code"] for r in ranked.collect()}
     expected = {("many", name): code for code, name in enumerate(names)}
     expected |= {("three", f"k{i}"): i for i in range(3)}
     assert got == expected
-    codes = features.label_encode(df, ["many", "three"])
+    codes = features.label_encode(df, ["many", "three"], f"{scratch}/codes")
     known = df.select("id", F.col("many").alias("word"))
     for row in codes.join(known, "id").where("id % 997 = 0").collect():
         assert row["many"] == expected["many", row["word"]]

@@ -75,6 +75,18 @@ def test_net_amount_counts_missing_sides_as_zero(spark):
         ("geometry", "source", "binary"),
         ("double", "source", "double"),
         ("longtext", "source", "string"),
+        ("year", "source", "int"),
+        ("tinyint(1)", "source", "tinyint"),
+        ("tinyint unsigned", "source", "smallint"),
+        ("smallint(5) unsigned", "source", "int"),
+        ("mediumint unsigned", "source", "int"),
+        ("int unsigned zerofill", "source", "bigint"),
+        ("bigint unsigned", "source", "decimal(20,0)"),
+        ("decimal(7,2) unsigned", "source", "decimal(7,2)"),
+        ("double unsigned", "source", "double"),
+        ("bit(1)", "source", "boolean"),
+        ("bit(8)", "source", "binary"),
+        *((name, "source", "binary") for name in ("binary(4)", "varbinary(9)", "tinyblob", "blob", "mediumblob", "longblob")),
     ],
 )
 def test_stored_type(declared, policy, expected):

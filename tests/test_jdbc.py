@@ -55,13 +55,15 @@ class FakeReader:
 
 
 COLUMNS = [
-    {"position": 2, "name": "price", "type": "DECIMAL", "digits": 7, "decimals": 2},
-    {"position": 1, "name": "id", "type": "int", "digits": 10, "decimals": 0},
+    {"position": 2, "name": "price", "type": "DECIMAL", "full_type": "decimal(7,2)", "digits": 7, "decimals": 2},
+    {"position": 1, "name": "id", "type": "int", "full_type": "int unsigned", "digits": 10, "decimals": 0},
 ]
 ANSWERS = [
     ("information_schema.tables", [{"table_name": "web_sales"}, {"table_name": "customer"}]),
     ("table_name = 'empty'", []),
     ("information_schema.columns", COLUMNS),
+    ("table_name = 'keyless' AND index_name", []),
+    ("information_schema.statistics", [{"name": "id"}]),
     ("MIN(`id`)", [(5, 104)]),
     ("(`id` - 5) DIV 25", [(0, 50), (1, 100), (3, 40), (None, 10)]),
 ]
@@ -77,30 +79,42 @@ def database():
 
 def test_listing(database):
     assert database.list_tables() == ["customer", "web_sales"]
-    assert database.declared_schema("web_sales") == [("id", "int"), ("price", "decimal(7,2)")]
+    assert database.declared_schema("web_sales") == [("id", "int unsigned"), ("price", "decimal(7,2)")]
     with pytest.raises(ValueError, match="no schema found"):
         database.declared_schema("empty")
 
 
-def test_key_ranges(database):
-    read = database.read_table("web_sales", key="id", partitions=4)
+@pytest.mark.parametrize("key", ["id", None])
+def test_key_ranges(database, key):
+    """Without a key the primary key's first column serves."""
+    read = database.read_table("web_sales", key=key, partitions=4)
     assert read.table == "`web_sales`"
     assert read.predicates == [
         "`id` IS NULL",
-        "`id` >= 5 AND `id` < 30",
-        "`id` >= 30 AND `id` < 55 AND MOD(CRC32(CONCAT_WS('|', `id`, `price`)), 2) = 0",
-        "`id` >= 30 AND `id` < 55 AND MOD(CRC32(CONCAT_WS('|', `id`, `price`)), 2) = 1",
-        "`id` >= 80 AND `id` < 105",
+        "`id` < 30",
+        "`id` >= 30 AND `id` < 80 AND MOD(CRC32(CONCAT_WS('|', `id`, `price`)), 2) = 0",
+        "`id` >= 30 AND `id` < 80 AND MOD(CRC32(CONCAT_WS('|', `id`, `price`)), 2) = 1",
+        "`id` >= 80",
     ]
-    with pytest.raises(ValueError, match="no column"):
-        database.read_table("web_sales", key="nope")
 
 
-def test_shares_without_a_key(database):
-    read = database.read_table("web_sales")
+@pytest.mark.parametrize(("table", "key"), [("web_sales", "nope"), ("web_sales", "price"), ("keyless", None)])
+def test_keys_that_cannot_split(database, table, key):
+    with pytest.raises(ValueError, match="no column|no integer key"):
+        database.read_table(table, key=key)
+
+
+def test_shares_by_hash_on_request(database):
+    read = database.read_table("web_sales", by_hash=True)
     assert len(read.predicates) == 16
     assert read.predicates[3] == "MOD(CRC32(CONCAT_WS('|', `id`, `price`)), 16) = 3"
-    assert read.properties == {"user": "reader", "fetchsize": "10000"}
+    assert read.properties == {
+        "user": "reader",
+        "fetchsize": "10000",
+        "preferTimestampNTZ": "true",
+        "yearIsDateType": "false",
+        "tinyInt1isBit": "false",
+    }
 
 
 def reads_per_row(table, predicates):
@@ -110,7 +124,8 @@ def reads_per_row(table, predicates):
 
 def test_every_row_is_read_once_and_hot_keys_are_split(spark):
     """Spark knows the functions the statements use, so it can stand in for the database."""
-    key = F.when(F.col("id") % 3 == 0, -7).when(F.col("id") % 3 == 1, F.col("id") - 500)
+    far = F.when(F.col("id") < 6_000, F.col("id") - 500).otherwise(F.col("id") + 5_000)
+    key = F.when(F.col("id") % 3 == 0, -7).when(F.col("id") % 3 == 1, far)
     table = spark.range(9_000).select("id", key.alias("k"), F.lit("x").alias("s"))
     low, high = table.agg(F.min("k"), F.max("k")).first()
     width = (high - low) // 12 + 1
@@ -118,6 +133,12 @@ def test_every_row_is_read_once_and_hot_keys_are_split(spark):
     rows = {row["number"]: row["count"] for row in numbers.groupBy("number").count().collect()}
     predicates = range_predicates("k", low, width, rows, ["id", "k", "s"], 750)
     assert reads_per_row(table, predicates) == [(1,)]
+    # Rows that come after the count: beyond both bounds, in a gap, and without a key.
+    gap = next(n for n in range(12) if not rows.get(n))
+    late = [low - 10**6, low + gap * width + 1, high + 10**6, None]
+    later = table.sparkSession.createDataFrame([(i, k, "x") for i, k in enumerate(late)], "id long, k long, s string")
+    assert reads_per_row(table.unionByName(later), predicates) == [(1,)]
+    assert range_predicates("k", 0, 1, {}, ["k"], 1) == ["`k` IS NULL", "`k` IS NOT NULL"]
     assert max(table.where(p).count() for p in predicates) < 1_000
     assert reads_per_row(table, hash_predicates(["id", "k", "s"], 7)) == [(1,)]
 

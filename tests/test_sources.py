@@ -43,10 +43,29 @@ def test_base_may_be_a_uri(spark, tmp_path):
     assert parquet.list_tables(spark, base) == ["t"]
 
 
-@pytest.mark.parametrize("name", ["", "a b", "../x", "a;drop", "x.parquet"])
-def test_odd_table_names_are_refused(spark, base, name):
-    with pytest.raises(ValueError, match="not a table name"):
-        parquet.read_table(spark, base, name)
+ODD_NAMES = ["my-table", "a b", "../x", "a;drop", "x.parquet", "é%20#?", "a=41=b", "{*}[c]", "Q$_1", ".hidden", "_x"]
+
+
+@pytest.mark.parametrize("name", ODD_NAMES)
+def test_any_table_name_is_written_read_and_listed(spark, base, name):
+    path, rows = parquet.write_table(spark.range(3), base, name)
+    assert rows == 3 and parquet.read_table(spark, base, name).count() == 3
+    assert path.count("/") == base.count("/") + 1
+    assert parquet.list_tables(spark, base) == [name]
+
+
+def test_a_table_needs_a_name(spark, base):
+    with pytest.raises(ValueError, match="empty"):
+        parquet.read_table(spark, base, "")
+
+
+def test_only_direct_children_are_listed(spark, tmp_path):
+    base = str(tmp_path / "old.parquet" / "raw")
+    parquet.write_table(spark.range(2), base, "one")
+    parquet.write_table(spark.range(2), f"{base}/archive", "old")
+    (tmp_path / "old.parquet" / "raw" / "notes.txt").write_text("x")
+    assert parquet.list_tables(spark, base) == ["one"]
+    assert dict(parquet.table_counts(spark, base).collect()) == {"one": 2}
 
 
 def test_filters_and_columns_reach_the_scan(spark, base, capsys):
@@ -117,7 +136,9 @@ def test_table_reports(spark, base):
     parquet.write_table(spark.range(4).withColumn("s", F.lit("x")), base, "one")
     parquet.write_table(spark.range(2), base, "two")
     assert dict(parquet.table_counts(spark, base).collect()) == {"one": 4, "two": 2}
-    rows = [tuple(r) for r in parquet.table_schemas(spark, base).collect()]
+    plain = [tuple(r) for r in parquet.table_schemas(spark, base).collect()]
+    rows = [tuple(r) for r in parquet.table_schemas(spark, base, counted=True).collect()]
+    assert sorted(plain) == sorted(row[:4] for row in rows)
     assert sorted(rows) == [
         ("one", 1, "id", "bigint", 4),
         ("one", 2, "s", "string", 4),
@@ -155,28 +176,35 @@ def test_feature_table_in_the_catalog(spark, tmp_path):
 class FakeSession:
     """The two things ``shared_dir`` asks a session for."""
 
-    def __init__(self, master, configured=None):
+    def __init__(self, configured=None, made=None):
         self.conf = {} if configured is None else {"spark.checkpoint.dir": configured}
         self.sparkContext = self
-        self.master = master
-        self.made = None
+        self.made = made
 
     def getCheckpointDir(self):
         return self.made
 
-    def setCheckpointDir(self, path):
-        self.made = path
+
+def test_shared_dir_follows_the_setting_and_has_no_default():
+    assert session.shared_dir(FakeSession("hdfs:///shared/")) == "hdfs:///shared"
+    assert session.shared_dir(FakeSession(made="/mnt/shared")) == "/mnt/shared"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_dir(FakeSession())
 
 
-def test_shared_dir_follows_the_setting():
-    cluster = FakeSession("spark://host:7077", "hdfs:///shared")
-    assert session.shared_dir(cluster) == "hdfs:///shared"
-    first = session.scratch_path(cluster, "t")
-    assert first.startswith("hdfs:///shared/patronage/") and first.endswith("/t")
-    assert first != session.scratch_path(cluster, "t")
+def test_run_folders_are_fresh_and_removed(spark, tmp_path):
+    with session.run_folder(spark, str(tmp_path)) as one, session.run_folder(spark, str(tmp_path)) as two:
+        assert one != two
+        spark.range(3).write.parquet(f"{one}/t")
+        assert spark.read.parquet(f"{one}/t").count() == 3
+    with pytest.raises(ZeroDivisionError), session.run_folder(spark, str(tmp_path)) as three:
+        spark.range(3).write.parquet(f"{three}/t")
+        raise ZeroDivisionError
+    assert list(tmp_path.iterdir()) == []
 
 
-def test_no_local_folder_on_a_cluster():
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        session.shared_dir(FakeSession("yarn"))
-    assert session.shared_dir(FakeSession("local[2]"))
+def test_a_year_that_arrives_as_a_date(spark):
+    df = spark.sql("SELECT DATE '1999-01-01' AS y, 200S AS t, 4000000000L AS i")
+    out = parquet.typed_cast(df, [("y", "year"), ("t", "tinyint unsigned"), ("i", "int unsigned")])
+    assert tuple(out.first()) == (1999, 200, 4_000_000_000)
+    assert out.dtypes == [("y", "int"), ("t", "smallint"), ("i", "bigint")]
