@@ -30,7 +30,7 @@ class Settings:
     ngram: int = 3
     window: int = 4
     piece: int = 200
-    least_score: float = 0.5
+    least_score: float = 0.4
     block_words: int = 500_000
 
 
