@@ -4,14 +4,16 @@
 2. Bands of registers put classes into buckets. Each class is first paired with one class only, the least that leads one of its buckets, so a
    bucket of any size gives no more pairs than members.
 3. Pairs pass if the joint likelihood of their registers allows for the threshold; then the full sets are compared, and links become components.
-4. Buckets that still hold several components are searched through, in blocks, for pairs between components; what passes is compared
-   in full too. Buckets whose members are already together, as those of copies are, cost nothing here.
+4. Buckets that still hold several components are searched through, in blocks, for pairs between components. Pairs are compared in full where they
+   are found, the likeliest first, and a link makes further pairs of the two components needless, so each block gives fewer links than it has members.
+   Buckets whose members are already together, as those of copies are, cost nothing here.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -79,14 +81,21 @@ def shingles(text: str | None, size: int, hashes: WordHashes) -> np.ndarray:
     return np.unique(mix(keys))
 
 
+@lru_cache(maxsize=8)
+def orders(count: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Factors (odd) and shifts that put hashes into each register's own order."""
+    rng = np.random.default_rng(seed)
+    factor = rng.integers(0, 1 << 31, count, np.uint32) * np.uint32(2) + np.uint32(1)
+    return factor[:, None], rng.integers(0, 1 << 32, count, np.uint32)[:, None]
+
+
 def minima(keys: np.ndarray, how: Settings) -> np.ndarray:
-    """Least hash of the set in each register's own order, by chunks: the minimum of parts is that of the whole."""
-    rng = np.random.default_rng(how.seed)
-    factor = rng.integers(0, 1 << 63, how.registers, np.uint64) * np.uint64(2) + np.uint64(1)
-    shift = rng.integers(0, 1 << 63, how.registers, np.uint64)
-    least = np.full(how.registers, np.iinfo(np.uint64).max, np.uint64)
-    for begin in range(0, len(keys), CHUNK):
-        least = np.minimum(least, (factor[:, None] * keys[None, begin : begin + CHUNK] + shift[:, None]).min(1))
+    """Least 32-bit hash of the set in each register's order, by chunks: the minimum of parts is that of the whole."""
+    factor, shift = orders(how.registers, how.seed)
+    short = (keys >> np.uint64(32)).astype(np.uint32)
+    least = np.full(how.registers, np.iinfo(np.uint32).max, np.uint32)
+    for begin in range(0, len(short), CHUNK):
+        least = np.minimum(least, (factor * short[None, begin : begin + CHUNK] + shift).min(1))
     return least
 
 
@@ -95,7 +104,7 @@ def registers(keys: np.ndarray, how: Settings) -> np.ndarray:
     larger of each two registers. An empty set has zeros."""
     if not len(keys):
         return np.zeros(how.registers, np.uint16)
-    uniform = (minima(keys, how) >> np.uint64(11)).astype(float) * 2.0**-53
+    uniform = (minima(keys, how) + 0.5) * 2.0**-32
     exponential = np.maximum(-np.log1p(-uniform) / how.rate, 1e-300)
     return np.clip(np.floor(1 - np.log(exponential) / np.log(how.base)), 0, how.top + 1).astype(np.uint16)
 
@@ -124,6 +133,24 @@ def likeliest(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarr
     return j[np.arange(len(j)), score.argmax(1)]
 
 
+def allowed(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray, how: Settings) -> np.ndarray:
+    """Estimates of the pairs that may reach the threshold, 0 for the others. Pairs with so few equal registers that the estimate could not
+    come near are left out before it."""
+    least, out = how.percent / 100 - how.slack, np.zeros(len(a))
+    near = np.flatnonzero((a == b).mean(1) >= least - how.slack)
+    for begin in range(0, len(near), 2000):
+        part = near[begin : begin + 2000]
+        found = likeliest(a[part], b[part], size_a[part], size_b[part], how)
+        out[part] = np.where(found >= least, found, 0)
+    return out
+
+
+def linked(a: np.ndarray, b: np.ndarray, how: Settings) -> bool:
+    """The definition, on two full sets."""
+    shared = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * shared >= how.percent * (len(a) + len(b) - shared)
+
+
 def sketched(docs: DataFrame, how: Settings) -> DataFrame:
     """(doc_id, n_shingles, digest, sketch, keys) per row of `docs`; the last three are null without words."""
     chosen = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
@@ -155,8 +182,8 @@ def estimated(pairs: DataFrame, classes: DataFrame, how: Settings) -> DataFrame:
             for begin in range(0, len(batch), 2000):
                 part = batch.iloc[begin : begin + 2000]
                 a, b = (np.stack([np.frombuffer(s, np.uint16) for s in part[f"s_{x}"]]) for x in "ab")
-                found = likeliest(a, b, part["n_a"].to_numpy(float), part["n_b"].to_numpy(float), how)
-                yield part.loc[found >= how.percent / 100 - how.slack, ["a", "b"]]
+                found = allowed(a, b, part["n_a"].to_numpy(float), part["n_b"].to_numpy(float), how)
+                yield part.loc[found > 0, ["a", "b"]]
 
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInPandas(run, f"a {kind}, b {kind}")
 
@@ -170,14 +197,12 @@ def confirmed(pairs: DataFrame, texts: DataFrame, how: Settings) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes, text, held = WordHashes(), None, np.zeros(0, np.uint64)
         for batch in batches:
-            linked = []
+            good = []
             for text_a, text_b in zip(batch["text_a"], batch["text_b"], strict=True):
                 if text_b != text:  # the pairs of one b come one after another
                     text, held = text_b, shingles(text_b, how.words, hashes)
-                own = shingles(text_a, how.words, hashes)
-                shared = len(np.intersect1d(own, held, assume_unique=True))
-                linked.append(100 * shared >= how.percent * (len(own) + len(held) - shared))
-            yield batch.loc[linked, ["a", "b"]]
+                good.append(linked(shingles(text_a, how.words, hashes), held, how))
+            yield batch.loc[good, ["a", "b"]]
 
     return both.mapInPandas(run, f"a {kind}, b {kind}")
 
@@ -204,56 +229,93 @@ def components(links: DataFrame) -> DataFrame:
         known = digest
 
 
-def between_components(members: DataFrame, classes: DataFrame, roots: DataFrame, how: Settings) -> DataFrame:
-    """Pairs (a, b) of one bucket but of different components that the registers allow for.
+class Joined:
+    """Which roots hang together so far."""
+
+    def __init__(self) -> None:
+        self.above: dict = {}
+
+    def find(self, node):
+        while (up := self.above.get(node, node)) != node:
+            self.above[node] = node = self.above.get(up, up)
+        return node
+
+    def join(self, a, b) -> bool:
+        """Whether the two were apart."""
+        a, b = self.find(a), self.find(b)
+        self.above[a] = b
+        return a != b
+
+
+def links_between(group: pd.DataFrame, how: Settings, hashes: WordHashes) -> pd.DataFrame:
+    """Links (a, b) that join components, of the members of two blocks of a bucket.
+
+    A pair is looked at in the first band its sketches share, and so in one bucket only, unless it is together by then.
+    """
+    sides = [group[group["block"] == group[name].iloc[0]].reset_index(drop=True) for name in ("lo", "hi")]
+    ids, roots = ([side[name].to_numpy() for side in sides] for name in ("id", "root"))
+    sizes = [side["n_shingles"].to_numpy(float) for side in sides]
+    wanted = roots[0][:, None] != roots[1][None, :]
+    if group["lo"].iloc[0] == group["hi"].iloc[0]:
+        wanted &= ids[0][:, None] > ids[1][None, :]
+    wanted &= 100 * np.minimum(sizes[0][:, None], sizes[1][None, :]) >= how.percent * np.maximum(sizes[0][:, None], sizes[1][None, :])
+    first, second = np.nonzero(wanted)
+    found = []
+    if len(first):
+        sketches = [np.stack([np.frombuffer(s, np.uint16) for s in side["sketch"]]) for side in sides]
+        for begin in range(0, len(first), 2000):
+            i, j = first[begin : begin + 2000], second[begin : begin + 2000]
+            shared = (sketches[0][i] == sketches[1][j]).reshape(-1, how.bands, how.rows).all(2)
+            here = shared.argmax(1) == group["band"].iloc[0]
+            i, j = i[here], j[here]
+            estimate = allowed(sketches[0][i], sketches[1][j], sizes[0][i], sizes[1][j], how)
+            found += [(-e, p, q) for e, p, q in zip(estimate.tolist(), i.tolist(), j.tolist(), strict=True) if e > 0]
+    together, sets, links = Joined(), ({}, {}), []
+    for _, i, j in sorted(found):
+        root_a, root_b = roots[0][i], roots[1][j]
+        if together.find(root_a) == together.find(root_b):
+            continue
+        for side, k, text in ((0, i, sides[0]["text"]), (1, j, sides[1]["text"])):
+            if k not in sets[side]:
+                sets[side][k] = shingles(text[k], how.words, hashes)
+        if linked(sets[0][i], sets[1][j], how):
+            together.join(root_a, root_b)
+            links.append((ids[0][i], ids[1][j]))
+    return pd.DataFrame(links, columns=["a", "b"])
+
+
+def between_components(members: DataFrame, classes: DataFrame, texts: DataFrame, roots: DataFrame, how: Settings) -> DataFrame:
+    """Links (a, b) between components that share a bucket: enough of them to join all components that any link joins.
 
     Only buckets with several components are looked at. A bucket is cut into blocks of about `how.block` members, and each two blocks meet in
     a task of their own, so no task holds a bucket.
     """
     labelled = members.join(roots.withColumnRenamed("node", "id"), "id", "left")
-    labelled = labelled.select("key", "id", F.coalesce("root", "id").alias("root"))
+    labelled = labelled.select("band", "key", "id", F.coalesce("root", "id").alias("root"))
     open_keys = labelled.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count("*").alias("n"))
     open_keys = open_keys.filter("r0 < r1").select("key", F.ceil(F.col("n") / how.block).cast("int").alias("blocks"))
     left = labelled.join(open_keys, "key").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     met = left.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    met = met.select("key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "id", "root")
+    met = met.select("band", "key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "id", "root")
     kind = dict(members.dtypes)["id"]
     cell = ["key", "lo", "hi"]
 
-    def search(group: pd.DataFrame) -> pd.DataFrame:
-        lo, hi = group["lo"].iloc[0], group["hi"].iloc[0]
-        first, second = group[group["block"] == lo], group[group["block"] == hi]
-        ids = [x["id"].to_numpy() for x in (first, second)]
-        roots = [x["root"].to_numpy() for x in (first, second)]
-        sizes = [x["n_shingles"].to_numpy(float) for x in (first, second)]
-        apart = roots[0][:, None] != roots[1][None, :]
-        if lo == hi:
-            apart &= ids[0][:, None] > ids[1][None, :]
-        fits = 100 * np.minimum(sizes[0][:, None], sizes[1][None, :]) >= how.percent * np.maximum(sizes[0][:, None], sizes[1][None, :])
-        i, j = np.nonzero(apart & fits)
-        sketches = [np.stack([np.frombuffer(s, np.uint16) for s in x["sketch"]]) if len(x) else None for x in (first, second)]
-        out = []
-        for begin in range(0, len(i), 2000):
-            p, q = i[begin : begin + 2000], j[begin : begin + 2000]
-            found = likeliest(sketches[0][p], sketches[1][q], sizes[0][p], sizes[1][q], how) >= how.percent / 100 - how.slack
-            out.append(pd.DataFrame({"a": np.maximum(ids[0][p], ids[1][q])[found], "b": np.minimum(ids[0][p], ids[1][q])[found]}))
-        return pd.concat(out) if out else pd.DataFrame({"a": ids[0][:0], "b": ids[0][:0]})
-
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = None
+        held, hashes = None, WordHashes()
         for batch in batches:
             rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
             marks = rows[cell].to_numpy()
             cuts = np.flatnonzero((marks[1:] != marks[:-1]).any(1)) + 1
             for begin, end in zip([0, *cuts[:-1]], cuts, strict=True) if len(cuts) else ():
-                yield search(rows.iloc[begin:end])
+                yield links_between(rows.iloc[begin:end], how, hashes)
             held = rows.iloc[cuts[-1] if len(cuts) else 0 :].reset_index(drop=True)
         if held is not None and len(held):
-            yield search(held)
+            yield links_between(held, how, hashes)
 
-    sketches = classes.select("id", "n_shingles", "sketch")
-    spread = met.join(sketches, "id").repartition(*cell).sortWithinPartitions(*cell)
-    return spread.select(*cell, "block", "id", "root", "n_shingles", "sketch").mapInPandas(run, f"a {kind}, b {kind}").distinct()
+    known = classes.select("id", "n_shingles", "sketch").join(texts, "id")
+    spread = met.join(known, "id").repartition(*cell).sortWithinPartitions(*cell)
+    columns = ["band", *cell, "block", "id", "root", "n_shingles", "sketch", "text"]
+    return spread.select(*columns).mapInPandas(run, f"a {kind}, b {kind}").distinct()
 
 
 def near_duplicates(docs: DataFrame, how: Settings | None = None) -> DataFrame:
@@ -273,7 +335,7 @@ def near_duplicates(docs: DataFrame, how: Settings | None = None) -> DataFrame:
     classes = stored(classes, "classes")
 
     # Buckets with more than one member.
-    banded = classes.select("id", "n_shingles", F.explode("keys").alias("key"))
+    banded = classes.select("id", "n_shingles", F.posexplode("keys").alias("band", "key"))
     buckets = banded.groupBy("key").agg(F.min(F.struct("id", "n_shingles")).alias("head"), F.count("*").alias("n")).filter("n > 1")
     members = stored(banded.join(buckets.select("key", "head"), "key"), "members")
     involved = members.select("id").distinct()
@@ -285,7 +347,7 @@ def near_duplicates(docs: DataFrame, how: Settings | None = None) -> DataFrame:
     first = members.filter(near).groupBy("id").agg(F.min("head.id").alias("b")).select(F.col("id").alias("a"), "b")
     links = confirmed(estimated(first, classes, how), texts, how)
     same = components(links)
-    more = confirmed(between_components(members.select("key", "id").distinct(), classes, same, how), texts, how)
+    more = between_components(members.select("band", "key", "id").distinct(), classes, texts, same, how)
     more = stored(more, "more-links")
     if not more.isEmpty():
         same = components(same.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
