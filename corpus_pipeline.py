@@ -40,9 +40,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, ids, n_tokens, and whether the ids decode to the very text."""
-    path = vocabulary_file(BYTE_BPE)
     kept = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    done = bpe.decode_documents(bpe.encode_documents(kept, path, ("doc_id", "text")), path)
+    done = bpe.encode_documents(kept, vocabulary_file(BYTE_BPE), ("doc_id", "text"), decode_too=True)
     return done.select("doc_id", "ids", "n_tokens", (F.col("decoded") == F.col("text")).alias("round_trip"))
 
 

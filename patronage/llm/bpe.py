@@ -25,7 +25,7 @@ PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S
 PLAIN_BYTES = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 
 #: Pieces whose ids a worker remembers, in each of two generations, and their longest length in characters.
-REMEMBERED = 1 << 18
+REMEMBERED = 1 << 17
 LONGEST_REMEMBERED = 40
 NEVER = 1 << 62
 
@@ -36,6 +36,29 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in PLAIN_BYTES} | {chr(0x100 + i): b for i, b in enumerate(others)}
 
 
+def contents(path: str) -> dict:
+    with open(path, encoding="utf-8") as file:
+        return json.load(file)
+
+
+def bytes_of(stated: dict) -> dict[str, bytes]:
+    """Bytes of each ordinary token of a tokenizer file."""
+    alphabet, special = byte_alphabet(), {t["content"] for t in stated["added_tokens"]}
+    return {text: bytes(alphabet[c] for c in text) for text in stated["model"]["vocab"] if text not in special}
+
+
+@lru_cache(maxsize=4)
+def token_texts(path: str) -> list[bytes]:
+    """Bytes of each token by its id: all that decoding needs."""
+    stated = contents(path)
+    ids = {data: stated["model"]["vocab"][text] for text, data in bytes_of(stated).items()}
+    ids |= {t["content"].encode(): t["id"] for t in stated["added_tokens"]}
+    texts = [b""] * (1 + max(ids.values(), default=-1))
+    for data, token in ids.items():
+        texts[token] = data
+    return texts
+
+
 class Vocabulary:
     """Tokens and merges of a tokenizer file. Every merge must make a token of its own from tokens made before it."""
 
@@ -63,9 +86,8 @@ class Vocabulary:
 
     @classmethod
     def from_file(cls, path: str) -> Vocabulary:
-        with open(path, encoding="utf-8") as file:
-            stated = json.load(file)
-        model, alphabet = stated["model"], byte_alphabet()
+        stated = contents(path)
+        model = stated["model"]
         split = stated.get("pre_tokenizer") or {}
         odd = [name for name in ("unk_token", "continuing_subword_prefix", "end_of_word_suffix", "dropout") if model.get(name)]
         if odd or stated.get("normalizer") or split.get("type") != "ByteLevel" or split.get("add_prefix_space") or not split.get("use_regex", True):
@@ -73,7 +95,7 @@ class Vocabulary:
         if any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] for t in stated["added_tokens"]):
             raise ValueError("added tokens that take in their surroundings are not supported")
         special = {t["content"]: t["id"] for t in stated["added_tokens"]}
-        in_bytes = {text: bytes(alphabet[c] for c in text) for text in model["vocab"] if text not in special}
+        in_bytes = bytes_of(stated)
         tokens = {data: model["vocab"][text] for text, data in in_bytes.items()}
         pairs = [pair.split(" ") if isinstance(pair, str) else pair for pair in model["merges"]]
         return cls(tokens, [(tokens[in_bytes[a]], tokens[in_bytes[b]]) for a, b in pairs], special)
@@ -266,10 +288,10 @@ class Encoder:
         return b"".join(out) + self.ordinary(text[at:] if at else text)
 
 
-def decode_stream(vocabulary: Vocabulary, chunks: Iterable[bytes]) -> Iterator[str]:
-    """Text of packed ids, as it becomes complete: a character whose bytes are split over tokens or chunks waits for its last byte; bytes
+def decode_stream(text_of: list[bytes], chunks: Iterable[bytes]) -> Iterator[str]:
+    """Text of packed ids, of which `text_of` has the bytes of each, as it becomes complete: a character whose bytes are split over tokens or chunks waits for its last byte; bytes
     that are no UTF-8 become U+FFFD, one for each longest start of a character. An id outside the vocabulary is left out."""
-    machine, text_of = codecs.getincrementaldecoder("utf-8")("replace"), vocabulary.text_of
+    machine = codecs.getincrementaldecoder("utf-8")("replace")
     for chunk in chunks:
         ids = np.frombuffer(chunk, "<u4")
         if len(ids) and int(ids.max()) >= len(text_of):
@@ -278,8 +300,8 @@ def decode_stream(vocabulary: Vocabulary, chunks: Iterable[bytes]) -> Iterator[s
     yield machine.decode(b"", True)
 
 
-def decode(vocabulary: Vocabulary, packed: bytes, step: int = 1 << 16) -> str:
-    return "".join(decode_stream(vocabulary, (packed[i : i + step] for i in range(0, len(packed), step))))
+def decode(text_of: list[bytes], packed: bytes, step: int = 1 << 16) -> str:
+    return "".join(decode_stream(text_of, (packed[i : i + step] for i in range(0, len(packed), step))))
 
 
 @lru_cache(maxsize=4)
@@ -288,22 +310,30 @@ def encoder(path: str) -> Encoder:
     return Encoder(Vocabulary.from_file(path))
 
 
-def encode_documents(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+#: Rows that a worker gives back at once.
+ROWS = 500
+
+
+def encode_documents(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",), decode_too: bool = False) -> DataFrame:
     """The columns `keep`, `ids` (packed little-endian unsigned 32-bit) and `n_tokens` of every whole text of `docs`.
 
-    A null or empty text has no ids. Rows are taken as they come: repeated rows, null ids and further columns do no harm. `path` is the vocabulary
-    file, present on every machine, as installed libraries are. Nothing is shuffled.
+    `decode_too` adds `decoded`, the text that the ids decode to, in the same worker. A null or empty text has no ids. Rows are taken as they
+    come: repeated rows, null ids and further columns do no harm. `path` is the vocabulary file, present on every machine, as installed
+    libraries are. Nothing is shuffled.
     """
     chosen = docs.select(*keep, F.coalesce("text", F.lit("")).alias("_text"))
     fields = ", ".join(f"`{name}` {kind}" for name, kind in chosen.dtypes if name != "_text")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(path).encode
+        encode, texts = encoder(path).encode, token_texts(path) if decode_too else []
         for batch in batches:
-            packed = [encode(text) for text in batch.pop("_text")]
-            yield batch.assign(ids=packed, n_tokens=[len(p) // 4 for p in packed])
+            for begin in range(0, len(batch), ROWS):
+                part = batch.iloc[begin : begin + ROWS]
+                packed = [encode(text) for text in part["_text"]]
+                out = part.drop(columns="_text").assign(ids=packed, n_tokens=[len(p) // 4 for p in packed])
+                yield out.assign(decoded=[decode(texts, p) for p in packed]) if decode_too else out
 
-    return chosen.mapInPandas(run, f"{fields}, ids binary, n_tokens long")
+    return chosen.mapInPandas(run, f"{fields}, ids binary, n_tokens long" + ", decoded string" * decode_too)
 
 
 def count_tokens(docs: DataFrame, path: str) -> DataFrame:
@@ -323,8 +353,8 @@ def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
     fields = ", ".join(f"`{name}` {kind}" for name, kind in encoded.dtypes)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vocabulary = encoder(path).vocabulary
+        texts = token_texts(path)
         for batch in batches:
-            yield batch.assign(decoded=[decode(vocabulary, packed or b"") for packed in batch["ids"]])
+            yield batch.assign(decoded=[decode(texts, packed or b"") for packed in batch["ids"]])
 
     return encoded.select(*names).mapInPandas(run, f"{fields}, decoded string")

@@ -108,8 +108,7 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = vocabulary_file(BYTE_BPE)
-    done = bpe.decode_documents(bpe.encode_documents(table(spark, sf_dir, "documents"), path), path)
+    done = bpe.encode_documents(table(spark, sf_dir, "documents"), vocabulary_file(BYTE_BPE), decode_too=True)
     return done.select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256")
     )

@@ -33,7 +33,7 @@ def mine(encoder, text):
 def test_nasty_texts(encoder):
     for text in NASTY:
         assert mine(encoder, text) == ids(text), text[:40]
-        assert bpe.decode(encoder.vocabulary, encoder.encode(text), 4) == LIBRARY.decode(ids(text), skip_special_tokens=False)
+        assert bpe.decode(encoder.vocabulary.text_of, encoder.encode(text), 4) == LIBRARY.decode(ids(text), skip_special_tokens=False)
 
 
 def test_every_code_point_splits_alike(encoder):
@@ -48,7 +48,7 @@ def test_every_code_point_splits_alike(encoder):
 def test_any_text(text):
     encoder = bpe.encoder(PATH)
     assert mine(encoder, text) == ids(text)
-    assert bpe.decode(encoder.vocabulary, encoder.encode(text)) == text
+    assert bpe.decode(encoder.vocabulary.text_of, encoder.encode(text)) == text
 
 
 def merge_all(data, vocabulary):
@@ -103,11 +103,12 @@ def test_memory_stays_constant(encoder):
 
 def test_decoder_holds_back_incomplete_characters(encoder):
     vocabulary = encoder.vocabulary
+    assert bpe.token_texts(PATH) == vocabulary.text_of
     token = {data: i for i, data in enumerate(vocabulary.text_of)}
     packed = [np.array([token[bytes([b])]], "<u4").tobytes() for b in "é🙂".encode()]
-    assert list(bpe.decode_stream(vocabulary, packed)) == ["", "é", "", "", "", "🙂", ""]
+    assert list(bpe.decode_stream(vocabulary.text_of, packed)) == ["", "é", "", "", "", "🙂", ""]
     broken = [token[bytes([b])] for b in b"\xf0\x9f\xff a\xc3"]
-    assert bpe.decode(vocabulary, np.array(broken, "<u4").tobytes()) == LIBRARY.decode(broken, skip_special_tokens=False)
+    assert bpe.decode(vocabulary.text_of, np.array(broken, "<u4").tobytes()) == LIBRARY.decode(broken, skip_special_tokens=False)
 
 
 def test_bad_merge_lists_are_refused():
@@ -134,4 +135,5 @@ def test_nulls_repeats_and_empty_table(spark):
     out = bpe.decode_documents(bpe.encode_documents(docs, PATH), PATH).collect()
     assert sorted((r.n_tokens, r.decoded) for r in out)[:2] == [(0, ""), (0, "")]
     assert {r.decoded for r in out} == {"", "é🙂 " * 50_000, "same"}
+    assert sorted(map(tuple, bpe.encode_documents(docs, PATH, decode_too=True).collect())) == sorted(map(tuple, out))
     assert bpe.decode_documents(bpe.encode_documents(no_documents(spark), PATH), PATH).count() == 0
