@@ -120,15 +120,17 @@ def score_documents(docs: DataFrame, targets: DataFrame, weight: float = 2.0) ->
     without words has no losses (null). Without any target the target model is uniform. Repeated rows count, and are scored, each.
     """
     wanted = targets.select("doc_id").filter("doc_id IS NOT NULL").distinct().withColumn("target", F.lit(True))
-    marked = docs.select("doc_id", "text").join(wanted, "doc_id", "left").withColumn("target", F.coalesce("target", F.lit(False)))
-    kind = dict(marked.dtypes)["doc_id"]
+    kind = dict(docs.dtypes)["doc_id"]
 
     def tokenise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         numbers = Numbers()
         for batch in batches:
-            yield batch.assign(tokens=[tokens_of(text, numbers).tobytes() for text in batch["text"]])[["doc_id", "target", "tokens"]]
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "tokens": [tokens_of(text, numbers).tobytes() for text in batch["text"]]})
 
-    tokenised = stored(marked.mapInPandas(tokenise, f"doc_id {kind}, target boolean, tokens binary"), "tokens")
+    # Entries take two bytes a word, so they are shuffled rather than texts.
+    entries = docs.select("doc_id", "text").mapInPandas(tokenise, f"doc_id {kind}, tokens binary")
+    marked = entries.join(wanted, "doc_id", "left").withColumn("target", F.coalesce("target", F.lit(False)))
+    tokenised = stored(marked, "tokens")
     target, background = gathered(tokenised)
     mass = [float(table[:WORDS].sum()) for table in (target, background)]
     scale = mass[0] / mass[1] if mass[0] else 1.0
