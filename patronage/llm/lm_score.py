@@ -1,115 +1,245 @@
 """Cross-entropy difference: two matched n-gram models, of a target and of the whole corpus, score every document by their losses per token.
 
-Both models share one vocabulary (words hashed to a fixed number of entries, so no word is unknown and none is left out), one order, one smoothing and,
-by scaling, one mass of counts. Counts cover all documents; as hashed tables of fixed size they fit in every worker, whatever the corpus.
+Both models share one vocabulary (all words of the corpus), one order, one smoothing and, by scaling, one mass of counts. Every word and every pair of
+words is counted by itself over all documents, under a hash of 63 bits. Documents are taken in batches; a batch asks once for each of its distinct words
+and pairs, already combined, so a hot pair costs one entry a batch. Cells of the range of hashes sum what all batches hold and answer each with
+the totals, in the order asked. What is gathered grows with the corpus, and no worker holds more than a batch or a cell of it.
 """
 
 from __future__ import annotations
 
-import zlib
+import hashlib
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored
 
-#: Entries of the vocabulary and of the table of pairs; numbers of a packed row.
-WORDS, PAIRS, PACK = 1 << 16, 1 << 20, 1 << 12
+#: Words of the vocabulary at least: a small corpus leaves room for words that it does not hold.
+WORDS = 1 << 16
+#: Tokens of a batch from which on it is closed; what a text without tokens adds to it.
+BATCH, EACH = 1 << 19, 16
+#: Tokens of documents that are scored at a time.
+SLICE = 1 << 16
+#: Cells at least, and tokens of the corpus for each further one.
+CELLS, CELL = 512, 1 << 22
+LEFT, RIGHT = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 class Numbers(dict):
-    """Word to its entry; remembers as many words as there are entries."""
+    """Word to its number, in the order in which words come."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 4 * WORDS:
-            self.clear()
-        number = self[word] = zlib.crc32(word) % WORDS
+        number = self[word] = len(self)
         return number
 
 
 def tokens_of(text: str | None, numbers: Numbers) -> np.ndarray:
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    return np.fromiter(map(numbers.__getitem__, words), np.uint16, len(words))
+    return np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
 
 
 def pairs_of(tokens: np.ndarray) -> np.ndarray:
-    """Entry of each pair of neighbours."""
-    keys = tokens[:-1].astype(np.uint64) * np.uint64(WORDS) + tokens[1:].astype(np.uint64)
-    return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int64)
+    """Each pair of neighbours as one number."""
+    return tokens[:-1].astype(np.int64) << 32 | tokens[1:].astype(np.int64)
 
 
-@dataclass(frozen=True)
-class Counts:
-    """Counts of single entries, of entries as the first of a pair, and of pairs."""
+def packed(numbers: np.ndarray) -> bytes:
+    """Numbers from 0 on by planes of bytes, as many as the largest needs."""
+    width = max((int(numbers.max(initial=0)).bit_length() + 7) // 8, 1)
+    return bytes([width]) + numbers.astype("<i8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
 
-    single: np.ndarray
-    first: np.ndarray
-    pair: np.ndarray
 
-    @staticmethod
-    def of(tokens: np.ndarray) -> np.ndarray:
-        """All three in one array of numbers of table entries."""
-        return np.concatenate([tokens.astype(np.int64), WORDS + tokens[:-1].astype(np.int64), 2 * WORDS + pairs_of(tokens)])
+def least_key(cell: int, cells: int) -> np.uint64:
+    """Where a cell's range of keys begins."""
+    return np.uint64(-(-(cell << 32) // cells) << 32)
 
-    @classmethod
-    def split(cls, flat: np.ndarray) -> Counts:
-        return cls(flat[:WORDS], flat[WORDS : 2 * WORDS], flat[2 * WORDS :])
 
+def unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8, offset=1).reshape(data[0], -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, : data[0]] = planes.T
+    return out.reshape(-1).view("<i8").astype(np.int64, copy=False)
 
-SIZE = 2 * WORDS + PAIRS
 
+@dataclass(frozen=True)
+class Batch:
+    """Texts as one run of tokens (numbers within the batch); `document` of each token, `second` the places that have a neighbour before them in
+    their text, `pairs` the distinct pairs, and `order`, which sorts the keys of all distinct words (odd) and then pairs (even)."""
+
+    tokens: np.ndarray
+    lengths: np.ndarray
+    document: np.ndarray
+    second: np.ndarray
+    pairs: np.ndarray
+    keys: np.ndarray
+    order: np.ndarray
 
-def losses(tokens: np.ndarray, counts: Counts, mass: float, scale: float, own: float, weight: float) -> np.ndarray:
-    """Loss in nats of each token under a model of counts times `scale`, from which the text's own counts, `own` times, are taken out.
+    @classmethod
+    def of(cls, tokens: bytes, lengths: bytes, hashes: bytes) -> Batch:
+        run, sizes, words = unpacked(tokens), unpacked(lengths), np.frombuffer(hashes, "<u8")
+        document = np.repeat(np.arange(len(sizes)), sizes)
+        second = np.flatnonzero(document[1:] == document[:-1]) + 1
+        pairs = np.unique(pairs_of(run)[second - 1])
+        keys = np.concatenate([words | np.uint64(1), (words[pairs >> 32] * LEFT + words[pairs & 0xFFFFFFFF] * RIGHT) & ~np.uint64(1)])
+        order = np.argsort(keys, kind="stable")
+        return cls(run, sizes, document, second, pairs, keys[order], order)
+
+    def places(self, cells: int) -> np.ndarray:
+        """Where each cell begins in the sorted keys, and where the last ends."""
+        return np.searchsorted((self.keys >> np.uint64(32)) * np.uint64(cells) >> np.uint64(32), np.arange(cells + 1))
+
+    def of_pair(self) -> np.ndarray:
+        """The distinct pair that ends at each place of `second`."""
+        return np.searchsorted(self.pairs, pairs_of(self.tokens)[self.second - 1])
+
+    def counts(self, of_pair: np.ndarray, inside: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted like the keys: how often each word or pair occurs, in the documents `inside` or in all, and how often a word ends a text."""
+        size = len(self.keys) - len(self.pairs)
+        token = np.ones(len(self.tokens), bool) if inside is None else inside[self.document]
+        last = np.ones(len(self.tokens), bool)
+        last[self.second - 1] = False
+        often = [np.bincount(self.tokens[token], minlength=size), np.bincount(of_pair[token[self.second]], minlength=len(self.pairs))]
+        ends = np.bincount(self.tokens[token & last], minlength=len(self.keys))
+        return np.concatenate(often)[self.order], ends[self.order]
+
+    def own(self, keys: np.ndarray, document: np.ndarray) -> np.ndarray:
+        """For each place how often its key occurs in its document."""
+        _, inverse, times = np.unique(document * (int(keys.max(initial=0)) + 1) + keys, return_inverse=True, return_counts=True)
+        return times[inverse]
+
+    def losses(self, models: list[tuple], vocabulary: float, weight: float) -> list[np.ndarray]:
+        """Sum of the losses in nats of each document's tokens under each model: counts sorted like the keys (`often`, `ends`) times `scale`, of the
+        mass given, from which a document's own counts, `own` times, are taken out.
+
+        A token's pair count is smoothed by `weight` times its single probability, that by one for each word of the vocabulary.
+        """
+        size, out = len(self.keys) - len(self.pairs), [np.zeros(len(self.lengths)) for _ in models]
+        counts = []
+        for often, ends, *_ in models:
+            total, last = np.empty(len(self.keys), np.int64), np.empty(len(self.keys), np.int64)
+            total[self.order], last[self.order] = often, ends
+            counts.append((total[:size], total[:size] - last[:size], total[size:]))
+        ends = np.cumsum(self.lengths)
+        begin = 0
+        while begin < len(self.tokens):  # whole documents, so that their own counts are complete
+            end = int(ends[np.searchsorted(ends, min(begin + SLICE, len(self.tokens)))])
+            tokens, document = self.tokens[begin:end], self.document[begin:end]
+            second = self.second[slice(*np.searchsorted(self.second, [begin, end]))] - begin
+            of_pair = np.searchsorted(self.pairs, pairs_of(tokens)[second - 1])
+            before, of_second = tokens[second - 1], document[second]
+            times, seen, both = self.own(tokens, document), self.own(before, of_second), self.own(of_pair, of_second)
+            for loss, (single, first, pair), (_, _, mass, scale, own) in zip(out, counts, models, strict=True):
+                mine, rest = own[document], scale * np.maximum(mass - own * self.lengths, 0)
+                chance = (scale * np.maximum(single[tokens] - mine * times, 0) + 1) / (rest[document] + vocabulary)
+                together = scale * np.maximum(pair[of_pair] - mine[second] * both, 0)
+                starts = scale * np.maximum(first[before] - mine[second] * seen, 0)
+                chance[second] = (np.minimum(together, starts) + weight * chance[second]) / (starts + weight)
+                loss[document[0] : document[-1] + 1] += np.bincount(document - document[0], -np.log(chance))
+            begin = end
+        return out
+
+
+def batches_of(docs: DataFrame) -> DataFrame:
+    """Texts in batches: their ids, their tokens and lengths packed, and the hashes of the distinct words in the order of their numbers."""
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, runs, numbers, held = [], [], Numbers(), 0
+
+        def closed() -> pa.RecordBatch:
+            values = pa.concat_arrays(ids)
+            hashes = b"".join(hashlib.blake2b(word, digest_size=8).digest() for word in numbers)
+            row = [uuid.uuid4().hex], [sum(map(len, runs))], [packed(np.concatenate(runs))], [packed(np.array(list(map(len, runs)), np.int64))], [hashes]
+            kinds = pa.string(), pa.int64(), pa.binary(), pa.binary(), pa.binary()
+            arrays = [pa.array(value, kind) for value, kind in zip(row, kinds, strict=True)]
+            return pa.RecordBatch.from_arrays([*arrays, pa.ListArray.from_arrays([0, len(values)], values)], [*NAMES, "doc_ids"])
 
-    A token's pair count is smoothed by `weight` times its single probability, that by one for each entry of the vocabulary.
-    """
-    at, inverse, times = np.unique(tokens, return_inverse=True, return_counts=True)
-    total = scale * max(mass - own * len(tokens), 0)
-    single = (scale * np.maximum(counts.single[at] - own * times, 0) + 1) / (total + WORDS)
-    chance = single[inverse]
-    if len(tokens) > 1:
-        pairs = pairs_of(tokens)
-        which, where, often = np.unique(pairs, return_inverse=True, return_counts=True)
-        pair = scale * np.maximum(counts.pair[which] - own * often, 0)[where]
-        starts, place, seen = np.unique(tokens[:-1], return_inverse=True, return_counts=True)
-        first = scale * np.maximum(counts.first[starts] - own * seen, 0)[place]
-        chance[1:] = (np.minimum(pair, first) + weight * chance[1:]) / (first + weight)
-    return -np.log(chance)
-
-
-def gathered(tokenised: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Counts of the target and of all documents, summed over the cluster; a fixed number of entries reaches the driver, packed."""
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tables = np.zeros((2, SIZE), np.int64)
         for batch in batches:
-            for packed, target in zip(batch["tokens"], batch["target"], strict=True):
-                at, often = np.unique(Counts.of(np.frombuffer(packed, np.uint16)), return_counts=True)
-                tables[1, at] += often
-                if target:
-                    tables[0, at] += often
-        for model, table in enumerate(tables):
-            at = np.flatnonzero(table)
-            for begin in range(0, len(at), 50_000):
-                part = at[begin : begin + 50_000]
-                yield pd.DataFrame({"model": model, "entry": part, "n": table[part]})
-
-    def pack(rows: pd.DataFrame) -> pd.DataFrame:
-        table = np.zeros(PACK)
-        table[rows["entry"].to_numpy() % PACK] = rows["n"]
-        return pd.DataFrame({"model": rows["model"].iloc[:1], "block": rows["block"].iloc[:1], "counts": [table.tobytes()]})
-
-    summed = tokenised.select("tokens", "target").mapInPandas(count, "model int, entry int, n long").groupBy("model", "entry").agg(F.sum("n").alias("n"))
-    blocks = summed.withColumn("block", F.floor(F.col("entry") / PACK).cast("int")).groupBy("model", "block")
-    tables = np.zeros((2, SIZE))
-    for row in blocks.applyInPandas(pack, "model int, block int, counts binary").collect():
-        tables[row.model, row.block * PACK : (row.block + 1) * PACK] = np.frombuffer(row.counts)
-    return tables[0], tables[1]
+            begin = 0
+            for at, text in enumerate(batch.column("text").to_pylist()):
+                runs.append(tokens_of(text, numbers))
+                held += len(runs[-1]) + EACH
+                if held >= BATCH:
+                    ids.append(batch.column("doc_id").slice(begin, at + 1 - begin))
+                    yield closed()
+                    ids, runs, numbers, held, begin = [], [], Numbers(), 0, at + 1
+            if begin < batch.num_rows:
+                ids.append(batch.column("doc_id").slice(begin))
+        if runs:
+            yield closed()
+
+    kind = dict(docs.dtypes)["doc_id"]
+    return stored(docs.select("doc_id", "text").mapInArrow(gather, f"{FIELDS}, doc_ids array<{kind}>"), "batches")
+
+
+FIELDS = "batch string, size long, tokens binary, lengths binary, hashes binary"
+NAMES = [field.split()[0] for field in FIELDS.split(", ")]
+
+
+def marks_of(batches: DataFrame, targets: DataFrame) -> DataFrame:
+    """One bit for each text of a batch that holds one of the target; stored, so a small table is joined without moving batches."""
+    wanted = targets.select("doc_id").filter("doc_id IS NOT NULL").distinct()
+    places = batches.select("batch", F.posexplode("doc_ids").alias("place", "doc_id")).join(wanted, "doc_id")
+
+    def mark(groups: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in groups:
+            bits = []
+            for places in group.column("places"):
+                at = places.values.to_numpy(zero_copy_only=False)
+                bits.append(np.packbits(np.bincount(at).astype(bool)).tobytes())
+            yield pa.RecordBatch.from_arrays([group.column("batch"), pa.array(bits, pa.binary())], ["batch", "marks"])
+
+    return stored(places.groupBy("batch").agg(F.collect_list("place").alias("places")).mapInArrow(mark, "batch string, marks binary"), "marks")
+
+
+def marked(marks: bytes | None, n: int) -> np.ndarray:
+    """Whether each of `n` texts is one of the target."""
+    out = np.zeros(n, bool)
+    bits = np.unpackbits(np.frombuffer(marks or b"", np.uint8))[:n].astype(bool)
+    out[: len(bits)] = bits
+    return out
+
+
+def gathered(batches: DataFrame, cells: int) -> DataFrame:
+    """For each batch and cell the totals of the keys asked: occurrences and ends in all texts, and both in those of the target. One row of each cell
+    has the number of its words and their masses in all texts and in the target."""
+
+    def ask(groups: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in groups:
+            for row in range(group.num_rows):
+                name, _, *blobs, marks = (group.column(c)[row].as_py() for c in (*NAMES, "marks"))
+                batch = Batch.of(*blobs)
+                of_pair, at = batch.of_pair(), batch.places(cells)
+                counts = [*batch.counts(of_pair), *batch.counts(of_pair, marked(marks, len(batch.lengths)))]
+                full = np.flatnonzero(np.diff(at)).tolist()
+                keys = [packed(np.diff(batch.keys[at[c] : at[c + 1]], prepend=least_key(c, cells)).astype(np.int64)) for c in full]
+                asked = [[packed(count[at[c] : at[c + 1]]) for count in counts] for c in full]
+                columns = [pa.array([name] * len(full), pa.string()), pa.array(full, pa.int32()), pa.array(keys, pa.binary()), pa.array(asked, pa.list_(pa.binary()))]
+                yield pa.RecordBatch.from_arrays(columns, ["batch", "cell", "keys", "counts"])
+
+    def answer(rows: pd.DataFrame) -> pd.DataFrame:
+        least = least_key(int(rows["cell"].iloc[0]), cells)
+        keys = [least + np.cumsum(unpacked(k).astype(np.uint64)) for k in rows["keys"]]  # sorted keys are sent as gaps
+        used, inverse = np.unique(np.concatenate(keys), return_inverse=True)
+        totals = []
+        for part in zip(*rows["counts"], strict=True):
+            totals.append(np.bincount(inverse, np.concatenate([unpacked(p) for p in part]), len(used)).astype(np.int64))
+        ends = np.cumsum([len(k) for k in keys])
+        answers = [[packed(total[inverse[end - len(k) : end]]) for total in totals] for k, end in zip(keys, ends.tolist(), strict=True)]
+        word = (used & np.uint64(1)).astype(bool)
+        out = pd.DataFrame({"batch": rows["batch"], "cell": rows["cell"], "counts": answers, "words": 0, "mass": 0, "target_mass": 0}).reset_index(drop=True)
+        out.loc[0, ["words", "mass", "target_mass"]] = [int(word.sum()), int(totals[0][word].sum()), int(totals[2][word].sum())]
+        return out
+
+    asked = batches.select(*NAMES, "marks").mapInArrow(ask, "batch string, cell int, keys binary, counts array<binary>")
+    schema = "batch string, cell int, counts array<binary>, words long, mass long, target_mass long"
+    return stored(asked.groupBy("cell").applyInPandas(answer, schema), "answers")
 
 
 def score_documents(docs: DataFrame, targets: DataFrame, weight: float = 2.0) -> DataFrame:
@@ -119,36 +249,30 @@ def score_documents(docs: DataFrame, targets: DataFrame, weight: float = 2.0) ->
     `difference` is target less background: the lower, the more a text is like the target. A document is scored without its own counts. A text
     without words has no losses (null). Without any target the target model is uniform. Repeated rows count, and are scored, each.
     """
-    wanted = targets.select("doc_id").filter("doc_id IS NOT NULL").distinct().withColumn("target", F.lit(True))
-    kind = dict(docs.dtypes)["doc_id"]
+    batches = batches_of(docs)
+    batches = batches.join(marks_of(batches, targets), "batch", "left")
+    tokens = batches.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    cells = max(CELLS, -(-int(tokens) // CELL))
+    answers = gathered(batches, cells)
+    words, mass, target_mass = (float(x or 0) for x in answers.agg(F.sum("words"), F.sum("mass"), F.sum("target_mass")).first())
+    vocabulary, scale = max(words, WORDS), target_mass / mass if target_mass else 1.0
+
+    def score(groups: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in groups:
+            for row in range(group.num_rows):
+                _, _, *blobs, marks, answered = (group.column(c)[row].as_py() for c in (*NAMES, "marks", "answers"))
+                batch = Batch.of(*blobs)
+                inside = marked(marks, len(batch.lengths)).astype(float)
+                parts = [a["counts"] for a in sorted(answered or [], key=lambda a: a["cell"])]
+                totals = [np.concatenate([unpacked(p) for p in part]) for part in zip(*parts, strict=True)] or [np.zeros(0)] * 4
+                models = [(*totals[2:], target_mass, 1.0, inside), (*totals[:2], mass, scale, np.ones(len(inside)))]
+                size = batch.lengths
+                own, general = (loss / np.maximum(size, 1) for loss in batch.losses(models, vocabulary, weight))
+                ids = group.column("doc_ids")[row].values
+                losses = [pa.array(x, pa.float64(), mask=size == 0) for x in (own, general, own - general)]
+                yield pa.RecordBatch.from_arrays([ids, pa.array(size, pa.int64()), *losses], ["doc_id", "n_tokens", "target_loss", "background_loss", "difference"])
 
-    def tokenise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        numbers = Numbers()
-        for batch in batches:
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "tokens": [tokens_of(text, numbers).tobytes() for text in batch["text"]]})
-
-    # Entries take two bytes a word, so they are shuffled rather than texts.
-    entries = docs.select("doc_id", "text").mapInPandas(tokenise, f"doc_id {kind}, tokens binary")
-    marked = entries.join(wanted, "doc_id", "left").withColumn("target", F.coalesce("target", F.lit(False)))
-    tokenised = stored(marked, "tokens")
-    target, background = gathered(tokenised)
-    mass = [float(table[:WORDS].sum()) for table in (target, background)]
-    scale = mass[0] / mass[1] if mass[0] else 1.0
-    tables = docs.sparkSession.sparkContext.broadcast((target.astype(np.float32), background.astype(np.float32)))  # SIZE numbers each
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        models = [Counts.split(table) for table in tables.value]
-        for batch in batches:
-            rows = []
-            for packed, inside in zip(batch["tokens"], batch["target"], strict=True):
-                tokens = np.frombuffer(packed, np.uint16)
-                if len(tokens):
-                    own = losses(tokens, models[0], mass[0], 1.0, float(inside), weight).mean()
-                    general = losses(tokens, models[1], mass[1], scale, 1.0, weight).mean()
-                    rows.append((len(tokens), own, general, own - general))
-                else:
-                    rows.append((0, None, None, None))
-            scored = pd.DataFrame(rows, columns=["n_tokens", "target_loss", "background_loss", "difference"], index=batch.index)
-            yield pd.concat([batch[["doc_id"]], scored], axis=1)
-
-    return tokenised.mapInPandas(score, f"doc_id {kind}, n_tokens long, target_loss double, background_loss double, difference double")
+    kind = dict(docs.dtypes)["doc_id"]
+    by_batch = answers.groupBy("batch").agg(F.collect_list(F.struct("cell", "counts")).alias("answers"))
+    known = batches.join(by_batch, "batch", "left").select(*NAMES, "marks", "answers", "doc_ids")
+    return known.mapInArrow(score, f"doc_id {kind}, n_tokens long, target_loss double, background_loss double, difference double")

@@ -71,3 +71,35 @@ def test_nulls_repeats_long_and_empty(spark):
     assert sorted((r.n_tokens, r.difference is None) for r in rows) == [(0, True)] * 3 + [(1, False)] * 2 + [(200_000, False)]
     assert all(r.difference is None or math.isfinite(r.difference) for r in rows)
     assert lm.score_documents(no_documents(spark), none).count() == 0
+
+
+def test_every_word_and_pair_is_counted_by_itself(spark):
+    """More words than any fixed table of 65,536 has entries; plain counters of the words themselves, without numbers or hashes."""
+    rng = random.Random(3)
+    common = [f"c{i}" for i in range(50)]
+    texts = [" ".join(rng.choice(common) if rng.random() < 0.5 else f"w{rng.randrange(10**6)}" for _ in range(2000)) for _ in range(100)]
+    split, targets = [t.split() for t in texts], set(range(0, 100, 3))
+    pairs_in = lambda x: list(zip(x, x[1:], strict=False))
+    models = []
+    for ids in (targets, range(100)):
+        single, first, pair = Counter(), Counter(), Counter()
+        for i in ids:
+            single.update(split[i])
+            first.update(split[i][:-1])
+            pair.update(pairs_in(split[i]))
+        models.append((single, first, pair, single.total()))
+    words, share = len(models[1][0]), models[0][3] / models[1][3]
+    assert words > 80_000
+    docs = documents(spark, texts)
+    rows = {r.doc_id: r for r in lm.score_documents(docs, spark.createDataFrame([(i,) for i in targets], "doc_id long")).collect()}
+    for i in range(0, 100, 7):
+        x, own = split[i], (Counter(split[i]), Counter(split[i][:-1]), Counter(pairs_in(split[i])))
+        for (single, first, pair, mass), scale, out, loss in ((models[0], 1.0, i in targets, rows[i].target_loss), (models[1], share, 1, rows[i].background_loss)):
+            want = 0.0
+            for at, word in enumerate(x):
+                p = (scale * (single[word] - out * own[0][word]) + 1) / (scale * (mass - out * len(x)) + words)
+                if at:
+                    before = scale * (first[x[at - 1]] - out * own[1][x[at - 1]])
+                    p = (scale * (pair[x[at - 1], word] - out * own[2][x[at - 1], word]) + 2 * p) / (before + 2)
+                want -= math.log(p)
+            assert abs(loss - want / len(x)) < 1e-9
