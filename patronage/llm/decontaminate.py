@@ -23,12 +23,14 @@ MATCH, MISMATCH, GAP = 2, -1, -1
 
 @dataclass(frozen=True)
 class Settings:
-    """Of each `window` n-grams in a row the rarest is a seed, so any `ngram` + `window` - 1 unedited words of an item hold one. Items beyond
+    """Of each `window` n-grams in a row the rarest that any document holds is a seed, so any `ngram` + `window` - 1 unedited words of an item hold
+    one, and so is each that at most `rare` documents hold, so a copy edited more often is found by whatever it shares with few. Items beyond
     `piece` words are aligned in pieces. `least_score` is the share of a perfect alignment's points from which a document counts as contaminated;
     `block_words` bounds what is broadcast."""
 
     ngram: int = 3
     window: int = 4
+    rare: int = 16
     piece: int = 200
     least_score: float = 0.4
     block_words: int = 500_000
@@ -98,17 +100,19 @@ def block_of(rows: list[tuple], how: Settings) -> Block:
 
 
 def thinned(block: Block, frequency: np.ndarray, how: Settings) -> Block:
-    """Only seeds: of every `window` n-grams in a row that which fewest documents hold, at equal counts that of the least key."""
+    """Only seeds: of every `window` n-grams in a row that which fewest documents hold, at equal counts that of the least key, and all that at most
+    `rare` hold. What no document holds finds nothing and displaces nothing."""
     found = []
     for p, piece in enumerate(block.pieces):
         keys, at = keys_of(piece, how.ngram, len(block.vocabulary))
         if not len(keys):
             continue
-        rank = np.lexsort((keys, frequency[np.searchsorted(block.keys, keys)]))
+        held = frequency[np.searchsorted(block.keys, keys)]
+        rank = np.lexsort((keys, held, held == 0))
         order = np.empty(len(keys), np.int64)
         order[rank] = np.arange(len(keys))
         chosen = {int(i + order[i : i + how.window].argmin()) for i in range(max(len(keys) - how.window + 1, 1))}
-        pick = np.array(sorted(chosen))
+        pick = np.array(sorted(i for i in chosen.union(np.flatnonzero(held <= how.rare).tolist()) if held[i]), np.int64)
         found.append((keys[pick], p, at[pick]))
     keys, starts, places = table_of(found)
     return replace(block, keys=keys, starts=starts, places=places)

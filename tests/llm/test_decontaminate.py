@@ -113,3 +113,20 @@ def test_repeats_and_empty_tables(spark):
     assert run(spark, docs, []) == [] and run(spark, no_documents(spark), [(1, item, 0.0)]) == []
     blocks = dc.seed_blocks(docs, spark.createDataFrame([(1, item)], "item_id long, text string"), HOW)
     assert [r.s for r in docs.select(dc.best_score(F.col("text"), blocks, HOW).alias("s")).collect()] == [1.0, 1.0]
+
+
+@pytest.mark.parametrize("elsewhere", [0, 3])
+def test_copy_edited_every_few_words_is_found(spark, elsewhere):
+    """Every window of n-grams holds an edited word; the unedited passage stands in no other document, or in a few."""
+    rng = random.Random(10)
+    items = [phrase(rng, 40) for _ in range(8)]
+    texts = []
+    for item in items:
+        edited, at = list(item), rng.randrange(2, 4)
+        while at < len(edited):
+            edited[at] = f"new{at}"
+            at += rng.randrange(4, 7)
+        texts.append(" ".join(phrase(rng, 20) + edited + phrase(rng, 20)))
+    whole = [" ".join(item) for item in items for _ in range(elsewhere)]
+    found = {(d, i) for d, i, *_, marked in run(spark, documents(spark, texts + whole), [(i, " ".join(item), 0.0) for i, item in enumerate(items)]) if marked}
+    assert found == {(i, i) for i in range(8)} | {(8 + i, i // elsewhere) for i in range(len(whole))}
