@@ -25,7 +25,7 @@ MATCH, MISMATCH, GAP = 2, -1, -1
 class Settings:
     """Of each `window` n-grams in a row the rarest that any document holds is a seed, so any `ngram` + `window` - 1 unedited words of an item hold
     one, and so is each that at most `rare` documents hold, so a copy edited more often is found by whatever it shares with few. Items beyond
-    `piece` words are aligned in pieces. `least_score` is the share of a perfect alignment's points from which a document counts as contaminated;
+    `piece` words are aligned in pieces, of which each overlaps its neighbours by half. `least_score` is the share of a perfect alignment's points from which a document counts as contaminated;
     `block_words` bounds what is broadcast."""
 
     ngram: int = 3
@@ -89,10 +89,11 @@ def block_of(rows: list[tuple], how: Settings) -> Block:
     items, pieces = [], []
     for item_id, text in rows:
         numbers = np.array([vocabulary.setdefault(w, len(vocabulary)) for w in words_of(text)], np.int64)
-        count = max(-(-len(numbers) // how.piece), 1)
-        for part in np.array_split(numbers, count):
-            items.append(item_id)
-            pieces.append(part)
+        parts = np.array_split(numbers, max(-(-len(numbers) // how.piece), 1))
+        # Between two pieces lies one of half of each, so a passage of half a piece is whole in one of them.
+        between = [np.concatenate([a[len(a) // 2 :], b[: -(-len(b) // 2)]]) for a, b in zip(parts, parts[1:], strict=False)]
+        items.extend([item_id] * (len(parts) + len(between)))
+        pieces.extend(parts + between)
     if len(vocabulary) ** how.ngram >= 1 << 62:
         raise ValueError("block_words is too large for keys of 63 bits")
     found = [(*keys_of(piece, how.ngram, len(vocabulary)), p) for p, piece in enumerate(pieces)]

@@ -130,3 +130,13 @@ def test_copy_edited_every_few_words_is_found(spark, elsewhere):
     whole = [" ".join(item) for item in items for _ in range(elsewhere)]
     found = {(d, i) for d, i, *_, marked in run(spark, documents(spark, texts + whole), [(i, " ".join(item), 0.0) for i, item in enumerate(items)]) if marked}
     assert found == {(i, i) for i in range(8)} | {(8 + i, i // elsewhere) for i in range(len(whole))}
+
+
+@pytest.mark.parametrize(("begin", "inside"), [(0, 120), (90, 110), (140, 120), (200, 120), (280, 120)])
+def test_passage_over_a_border_of_pieces_is_found(spark, begin, inside):
+    rng = random.Random(12)
+    item = phrase(rng, 400)
+    docs = documents(spark, [" ".join(phrase(rng, 30) + item[begin : begin + 120] + phrase(rng, 30))])
+    rows = run(spark, docs, [(1, " ".join(item), 0.0)])
+    best = max(rows, key=lambda row: row[2])
+    assert best[2] == inside / 200 and best[4] - best[3] + 1 == inside and best[5]
