@@ -25,6 +25,7 @@ VERSION = b"WARC/1.1\r\n"
 SEPARATOR = gzip.compress(b"", mtime=0)
 #: Where a record or a member may begin.
 START = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
+VERSION_LINE = re.compile(rb"WARC/1\.[01]\r\n")
 #: Records in an archive at most, so that one archive fits in a task's memory.
 RECORDS_PER_ARCHIVE = 2000
 CHUNK = 1 << 16
@@ -123,9 +124,9 @@ class Damaged(Exception):
     """What is wrong with bytes that should be a record or a member."""
 
 
-def parse_record(data: bytes, at: int) -> tuple[dict, int]:
-    """The record at `at` and where it ends."""
-    if not re.compile(rb"WARC/1\.[01]\r\n").match(data, at):
+def parse_record(data: bytes, at: int, proven: bool = False) -> tuple[dict, int]:
+    """The record at `at` and where it ends; if it must be `proven`, one without a digest of its own is damaged."""
+    if not VERSION_LINE.match(data, at):
         raise Damaged("no version line")
     end = data.find(b"\r\n\r\n", at)
     if end < 0:
@@ -138,6 +139,8 @@ def parse_record(data: bytes, at: int) -> tuple[dict, int]:
         fields[name.decode("latin-1").strip().lower()] = value.decode("utf-8", "replace").strip()
     if not re.fullmatch(r"\d{1,18}", fields.get("content-length", "")) or "warc-type" not in fields:
         raise Damaged("header without length or type")
+    if proven and not fields.keys() & {"warc-block-digest", "warc-payload-digest"}:
+        raise Damaged("record without digest in a damaged member")
     begin, size = end + 4, int(fields["content-length"])
     if data[begin + size : begin + size + 4] != b"\r\n\r\n":
         raise Damaged("record without end")
@@ -163,31 +166,50 @@ def parse_record(data: bytes, at: int) -> tuple[dict, int]:
     }, begin + size + 4
 
 
-def inflate(data: bytes, at: int) -> tuple[bytes, int]:
-    """Content of the gzip member at `at` and where it ends; its checksum and length are checked."""
-    inflater, parts, view = zlib.decompressobj(31), [], memoryview(data)
-    try:
-        while not inflater.eof:
-            if at >= len(data):
-                raise Damaged("member without end")
-            parts.append(inflater.decompress(view[at : at + CHUNK]))
-            at = min(at + CHUNK, len(data))
-    except zlib.error as error:
-        raise Damaged("member does not inflate or its checksum differs") from error
-    return b"".join(parts), at - len(inflater.unused_data)
-
-
-def parse_at(data: bytes, at: int) -> tuple[list[dict], int]:
-    """Records of the member or record at `at`, and where it ends."""
-    if data[at : at + 2] != b"\x1f\x8b":
-        record, end = parse_record(data, at)
-        return [record], end
-    content, end = inflate(data, at)
-    records, inner = [], 0
-    while inner < len(content):
-        record, inner = parse_record(content, inner)
+def inflate(data: bytes, at: int) -> tuple[bytes, int, str | None]:
+    """What the gzip member at `at` inflates to, where it ends or fails, and why it fails; its checksum and length are checked."""
+    begin, step = at, CHUNK
+    while True:
+        inflater, parts, view, at = zlib.decompressobj(31), [], memoryview(data), begin
+        fine = len(data) if step == CHUNK else failed
+        try:
+            while not inflater.eof:
+                if at >= len(data):
+                    return b"".join(parts), at, "member without end"
+                size = CHUNK if at < fine else 1
+                parts.append(inflater.decompress(view[at : at + size]))
+                at = min(at + size, len(data))
+            return b"".join(parts), at - len(inflater.unused_data), None
+        except zlib.error:
+            if step == 1:
+                return b"".join(parts), at, "member does not inflate or its checksum differs"
+            step, failed = 1, at  # once more, byte by byte from this chunk on, to keep what it holds before the fault
+
+
+def records_in(content: bytes, proven: bool) -> tuple[list[dict], list[tuple[int, int, str]]]:
+    """Sound records of an inflated member, and the ranges between them that hold none, each with the reason."""
+    records, gaps, at, gap, reason = [], [], 0, None, ""
+    while at < len(content):
+        try:
+            record, end = parse_record(content, at, proven)
+        except Damaged as damage:
+            if gap is None:
+                gap, reason = at, str(damage)
+            found = VERSION_LINE.search(content, at + 1)
+            at = found.start() if found else len(content)
+            continue
+        if gap is not None:
+            gaps.append((gap, at, reason))
+            gap = None
         records.append(record)
-    return records, end
+        at = end
+    if gap is not None:
+        gaps.append((gap, len(content), reason))
+    return records, gaps
+
+
+def name_of(record: dict) -> tuple:
+    return record["record_type"], record["record_id"], record["payload_digest"]
 
 
 def salvage(data: bytes) -> Iterator[dict]:
@@ -195,23 +217,48 @@ def salvage(data: bytes) -> Iterator[dict]:
 
     After a failed check the reader tries each later place that looks like a member or a version line, until one is wholly sound. Records and
     gaps (and members without content) cover the archive. Inside a damaged record, a whole sound record kept as payload would be read as one.
+
+    A member with a bad record, or that fails itself, gives its sound records too; of one that fails, those with a digest. Its gaps have length 0 and the
+    reason names the inflated bytes; the records of a failed member have length 0 as well, since its bytes are those of a gap.
     """
     at, gap, reason = 0, None, None
+    until, told = 0, set()  # where the last failed member stopped, and its records, which a stored member also shows as they are
     while at < len(data):
+        records, inner, broken = [], [], None
         try:
-            records, end = parse_at(data, at)
+            if data[at : at + 2] == b"\x1f\x8b":
+                content, end, broken = inflate(data, at)
+                records, inner = records_in(content, broken is not None)
+                if broken is None and inner and not records:
+                    broken = inner[0][2]
+            else:
+                record, end = parse_record(data, at)
+                if at < until and name_of(record) in told:
+                    broken = "record of a damaged member"
+                else:
+                    records = [record]
         except Damaged as damage:
-            if gap is None:
-                gap, reason = at, str(damage)
-            found = START.search(data, at + 1)
-            at = found.start() if found else len(data)
-            continue
-        if gap is not None:
+            broken = str(damage)
+        if broken is None and gap is not None:
             yield {"kind": "gap", "start": gap, "length": at - gap, "reason": reason}
             gap = None
+        size = end - at if broken is None else 0
         for record in records:
-            yield {"kind": "record", "start": at, "length": end - at, **record}
-        at = end
+            if broken is None or at >= until or name_of(record) not in told:
+                yield {"kind": "record", "start": at, "length": size, **record}
+        if records:
+            for low, high, why in inner:
+                yield {"kind": "gap", "start": at, "length": 0, "reason": f"{why}, inflated bytes {low} to {high} of the member"}
+        if broken is None:
+            at = end
+            continue
+        if records:
+            told = {*told, *map(name_of, records)} if at < until else set(map(name_of, records))
+            until = max(until, end)
+        if gap is None:
+            gap, reason = at, broken
+        found = START.search(data, at + 1)
+        at = found.start() if found else len(data)
     if gap is not None:
         yield {"kind": "gap", "start": gap, "length": len(data) - gap, "reason": reason}
 

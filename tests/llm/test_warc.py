@@ -104,3 +104,38 @@ def test_all_or_nothing_damaged():
     assert [(r["kind"], r["length"]) for r in warc.salvage(b"no archive at all")] == [("gap", 17)]
     whole = gzip.compress(record(1, b"a") + record(2, b"b"))
     assert [r["record_id"] for r in warc.salvage(whole)] == ["<urn:page:1>", "<urn:page:2>"]
+
+
+def hurt_member(level=9):
+    """Seven records in one member, the fourth with a flipped byte in its payload."""
+    rng = random.Random(5)
+    parts = [record(i, rng.randbytes(3000)) for i in range(7)]
+    parts[3] = parts[3][:2000] + bytes([parts[3][2000] ^ 0xFF]) + parts[3][2001:]
+    return parts, gzip.compress(b"".join(parts), level, mtime=0)
+
+
+def ids_and_gaps(data):
+    rows = list(warc.salvage(data))
+    return [int(r["record_id"][10:-1]) for r in rows if r["kind"] == "record"], [r for r in rows if r["kind"] == "gap"]
+
+
+def test_sound_member_gives_the_records_around_a_bad_one():
+    parts, member = hurt_member()
+    found, gaps = ids_and_gaps(member + gzip.compress(record(9, b"next"), mtime=0))
+    low = sum(map(len, parts[:3]))
+    assert found == [0, 1, 2, 4, 5, 6, 9]
+    assert [(g["start"], g["length"], g["reason"]) for g in gaps] == [(0, 0, f"block digest differs, inflated bytes {low} to {low + len(parts[3])} of the member")]
+
+
+@pytest.mark.parametrize("level", [0, 9])
+@pytest.mark.parametrize("damage", ["cut", "checksum", "flip"])
+def test_failed_member_gives_the_records_before_its_fault_once(damage, level):
+    parts, member = hurt_member(level)
+    place = len(member) * 6 // 7 - 200
+    data = {"cut": member[:place], "checksum": member[:-8] + b"\x00" * 4 + member[-4:], "flip": member[:place] + b"\xff" * 40 + member[place + 40 :]}[damage]
+    next_one = gzip.compress(record(9, b"next"), mtime=0)
+    found, gaps = ids_and_gaps(data + next_one)
+    assert found[-1] == 9 and len(set(found)) == len(found) and {0, 1, 2, 4} <= set(found) and 3 not in found
+    assert (damage != "checksum") or found == [0, 1, 2, 4, 5, 6, 9]
+    assert sum(g["length"] for g in gaps) == len(data) or level == 0
+    assert any(g["length"] == 0 and "inflated bytes" in g["reason"] for g in gaps)
