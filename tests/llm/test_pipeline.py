@@ -17,8 +17,8 @@ def test_stages_equal_plain_loops(spark):
     texts = {r.doc_id: r.text for r in docs.collect()}
     frame = lambda: docs.filter(F.col("doc_id").isin(list(texts)))
 
-    machine, buckets = toxicity.train(docs, labels), toxicity.Buckets()
-    texts = {i: t for i, t in texts.items() if machine.score(toxicity.terms(t or "", buckets)) < 0.5}
+    score = toxicity.train(docs, labels).scorer()
+    texts = {i: t for i, t in texts.items() if score(t or "") < 0.5}
     field = quality.train(frame(), labels)
     measured = {i: quality.measure(t or "") for i, t in texts.items()}
     texts = {i: t for i, t in texts.items() if not measured[i].base_failed and field.content_share(measured[i]) >= 0.5}
