@@ -41,7 +41,7 @@ def _parser() -> argparse.ArgumentParser:
     fetch.add_argument("--user")
     fetch.add_argument("--password-variable", help="environment variable with the password")
     fetch.add_argument("--driver", help="JDBC driver class")
-    fetch.add_argument("--keys", nargs="*", default=[], metavar="TABLE=COLUMN")
+    fetch.add_argument("--keys", nargs="*", default=[], metavar="TABLE=COLUMN[,COLUMN]")
     fetch.add_argument("--hash", nargs="*", default=[], metavar="TABLE", help="split by hash")
     fetch.add_argument("--reads", type=int, help="reads per table; default: cores")
     fetch.add_argument("--type-policy", choices=("source", "widen"), default="source")
@@ -98,7 +98,7 @@ def _manifest(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
         properties["password"] = os.environ[args.password_variable]
     given = {name: value for name, value in properties.items() if value is not None}
     database = JdbcDatabase(spark, args.url, args.database, given)
-    keys = dict(pair.split("=", 1) for pair in args.keys)
+    keys = {table: names.split(",") for table, names in (pair.split("=", 1) for pair in args.keys)}
     return ingest_jdbc(
         database, args.base, args.tables, keys, args.type_policy, args.at_once, args.reads, args.hash
     )

@@ -62,7 +62,7 @@ def ingest_jdbc(
     database: JdbcDatabase,
     base: str,
     tables: Sequence[str] | None = None,
-    keys: Mapping[str, str] | None = None,
+    keys: Mapping[str, str | Sequence[str]] | None = None,
     policy: str = "source",
     at_once: int = 1,
     partitions: int | None = None,
@@ -70,7 +70,7 @@ def ingest_jdbc(
 ) -> DataFrame:
     """Copy the named tables of a database, or all of them, under their stored types.
 
-    ``keys`` names an integer column per table to split the read by, where that is not the
+    ``keys`` names the column or columns per table to split the read by, where these are not the
     primary key; tables in ``by_hash`` are split by a hash of all columns. ``partitions`` is the
     number of reads per table.
     """
