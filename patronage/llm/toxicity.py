@@ -210,10 +210,11 @@ def fit(known: np.ndarray, rows: list[np.ndarray], labels: np.ndarray, how: Trai
 
     Single terms are fitted first, to convergence, under the penalty with the least loss over folds of the rows; equal lists fall into one fold. Then pairs are
     added and all is fitted on; they stay if that lowers the loss over the folds (`pairs` decides instead, if given). Nothing is random. `shift`
-    is added to the bias: the logarithm of how much rarer label 1 is outside the sample. Without both labels the machine is the smoothed base rate.
+    is added to the bias: the logarithm of how much rarer label 1 is outside the sample. Without both labels the machine is the smoothed base rate,
+    without any a score under a half.
     """
     how, n = how or Training(), len(rows)
-    base = (float(labels.sum()) + 0.5) / (n + 1)
+    base = (float(labels.sum()) + 0.5) / (n + 2)
     if n == 0 or labels.min() == labels.max() or not len(known):
         return Machine(float(np.log(base / (1 - base))) + shift)
     counts: dict[bytes, list[float]] = {}

@@ -18,7 +18,7 @@ def shingle_set(text):
     return {tuple(words[i : i + 5]) for i in range(max(len(words) - 4, 1))} if words else set()
 
 
-def brute(texts):
+def brute(texts, percent=85):
     """doc_id to (n_shingles, component) by comparing all sets that share a shingle."""
     sets = {i: shingle_set(t) for i, t in texts.items()}
     holders = defaultdict(list)
@@ -38,7 +38,7 @@ def brute(texts):
             for b in ids[:n]:
                 shared[a, b] += 1
     for (a, b), n in shared.items():
-        if 100 * n >= 85 * (len(sets[a]) + len(sets[b]) - n):
+        if 100 * n >= percent * (len(sets[a]) + len(sets[b]) - n):
             ra, rb = sorted((find(a), find(b)))
             root[rb] = ra
     return {i: (len(sets[i]), find(i)) for i in texts}
