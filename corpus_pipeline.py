@@ -24,11 +24,37 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return docs.filter(quality.judge(field)(F.col("text"))["kept"])
 
 
+#: Near duplicates of the corpus, by the general rule for word shingles.
+NEAR = near_dup.Settings(percent=80)
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """`docs` with `_key`, which names a text: the doc_id, but for rows without one and all but one text of those that share one.
+
+    Such texts come once each, under numbers beyond all ids. Only ids are shuffled where there are none.
+    """
+    ids = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 OR doc_id IS NULL")
+    if ids.isEmpty():
+        return docs.withColumn("_key", F.col("doc_id"))
+    shared = ids.select(F.col("doc_id").alias("_id"))
+    same = F.col("doc_id").eqNullSafe(F.col("_id"))
+    plain = docs.join(shared, same, "left_anti").withColumn("_key", F.col("doc_id").cast("decimal(38,0)"))
+    last = docs.agg(F.coalesce(F.max("doc_id"), F.lit(0)).cast("decimal(38,0)")).first()[0]
+    odd = stored(docs.join(shared, same, "left_semi").dropDuplicates(["doc_id", "text"]).withColumn("_key", F.monotonically_increasing_id()), "odd-rows")
+    first = odd.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("_key").alias("_key")).select("_key", F.lit(True).alias("_first"))
+    number = F.when(F.col("_first"), F.col("doc_id")).otherwise((F.lit(last) + 1 + F.col("_key"))).cast("decimal(38,0)")
+    return plain.unionByName(odd.join(first, "_key", "left").withColumn("_key", number).drop("_first"))
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least doc_id of each group, once. Of rows without a doc_id, which no result can name, equal texts stay once."""
-    kept = near_dup.near_duplicates(docs).filter("kept AND doc_id IS NOT NULL").select("doc_id")
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.filter("doc_id IS NULL").dropDuplicates(["text"]))
+    """One document of each group of near duplicates (five words, similarity of 0.8 or more): that of least doc_id, rows without one last.
+
+    Equal rows are one. Different texts of one doc_id are documents of their own, and so are rows without a doc_id.
+    """
+    named = keyed(docs)
+    texts = named.select(F.col("_key").alias("doc_id"), "text")
+    kept = near_dup.near_duplicates(texts, NEAR).filter("kept").select(F.col("doc_id").alias("_key"))
+    return named.join(kept, "_key", "left_semi").select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
