@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,11 +21,12 @@ from patronage.operators.profiles import inner_dims
 from patronage.plans import customer_360 as c360
 from patronage.plans import customer_analytics as analytics
 from patronage.plans import feature_step as step
-from patronage.plans.ingest import ingest_parquet
+from patronage.plans.ingest import ingest, ingest_parquet
 from patronage.plans.star import Star
 from patronage.session import shared_dir
 from patronage.sources import parquet
-from patronage.sources.feature_table import write_features
+from patronage.sources.catalog import CatalogDatabase
+from patronage.sources.feature_table import save_features, stored_features, write_features
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -135,11 +138,112 @@ def ingest_manifest(spark, sf_dir):
     return manifest.select("table_name", "row_count", "column_count")
 
 
+@contextmanager
+def database(spark: SparkSession) -> Iterator[str]:
+    """A database of the session's catalog, gone afterwards; what has been planned over its tables stays readable."""
+    name = f"patronage_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch(spark)}'")
+    try:
+        yield name
+    finally:
+        spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+@query
+def catalog_schema(spark, sf_dir):
+    """The given tables as external tables of a catalog's database, listed, described and counted there."""
+    with database(spark) as name:
+        for table in parquet.list_tables(spark, sf_dir):
+            place = parquet.table_path(sf_dir, table)
+            columns = parquet.read_table(spark, sf_dir, table).schema.toDDL()
+            spark.sql(f"CREATE TABLE {name}.{table} ({columns}) USING parquet OPTIONS (path '{place}')")
+        return _kept(spark, CatalogDatabase(spark, name).table_schemas(counted=True))
+
+
+def _kept(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """`df` written and read back, for what it reads is about to go."""
+    path = scratch(spark)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+class Interrupted(Exception):
+    """What stops the writes that these queries interrupt."""
+
+
+@query
+def interrupted_write(spark, sf_dir):
+    """A table whose replacement failed in the middle: its old rows."""
+    base, orders = scratch(spark), parquet.read_table(spark, sf_dir, "orders")
+    parquet.write_table(orders.where("o_orderkey % 2 = 0"), base, "orders")
+    late = F.raise_error(F.lit("interrupted")).cast("string")
+    status = F.when(F.col("o_orderkey") == F.lit(orders.agg(F.max("o_orderkey")).first()[0]), late).otherwise(F.col("o_orderstatus"))
+    try:
+        parquet.write_table(orders.withColumn("o_orderstatus", status), base, "orders")
+    except PySparkException:
+        return parquet.read_table(spark, base, "orders")
+    raise AssertionError("the write was to fail")
+
+
+@query
+def resumed_ingest(spark, sf_dir):
+    """An ingest that stopped at one table and went on under the same run: the manifest, and what the second call copied."""
+    base, tables, read_again = scratch(spark), ["customer", "nation", "orders", "region", "supplier"], []
+
+    def failing(name):
+        if name == "orders":
+            raise Interrupted(name)
+        return parquet.read_table(spark, sf_dir, name)
+
+    def reading(name):
+        read_again.append(name)
+        return parquet.read_table(spark, sf_dir, name)
+
+    try:
+        ingest(spark, failing, tables, base, run="first")
+    except Interrupted:
+        pass
+    manifest = ingest(spark, reading, tables, base, run="first")
+    return manifest.select("table_name", "row_count", F.col("table_name").isin(read_again).alias("copied_again"))
+
+
+@query
+def clustered_dates(spark, sf_dir):
+    """A date range of a table that is stored in ranges of dates."""
+    base = scratch(spark)
+    parquet.write_table(parquet.read_table(spark, sf_dir, "orders"), base, "orders", cluster_by=["o_orderdate"], files=8)
+    stored = parquet.read_table(spark, base, "orders")
+    return stored.where(F.col("o_orderdate").between("1996-03-01", "1996-05-31"))
+
+
+@query
+def cast_faults(spark, sf_dir):
+    """Values that do not fit their declared type, by column and row, as the failed write lists them."""
+    declared = [("o_orderkey", "bigint"), ("o_custkey", "smallint"), ("o_totalprice", "decimal(7,2)"), ("o_orderstatus", "int")]
+    orders = parquet.read_table(spark, sf_dir, "orders")
+    try:
+        parquet.write_table(parquet.located_cast(orders, declared), scratch(spark), "orders", fault_keys=["o_orderkey"])
+    except parquet.CastFaults as faults:
+        rows = spark.read.parquet(faults.path)
+        found = rows.select("o_orderkey", F.explode("faults").alias("column_name", "value"))
+        return found.groupBy("o_orderkey", "column_name").agg(F.count(F.lit(1)).alias("faults"))
+    raise AssertionError("the write was to fail")
+
+
 @query
 def feature_table(spark, sf_dir):
     return _stored_features(spark, sf_dir)
 
 
+@query
+def feature_table_by_name(spark, sf_dir):
+    """The feature table as a catalog table with its constraints, read by its name."""
+    with database(spark) as name:
+        rows = analytics.customer_analytics(fx.star(spark, sf_dir), "joined", ordered=False)
+        save_features(rows, f"{name}.features")
+        return _kept(spark, stored_features(spark, f"{name}.features"))
+
+
 # Projections and expressions
 
 

@@ -1,10 +1,11 @@
 """Run the jobs from the command line, usually through ``spark-submit``.
 
-    python -m patronage ingest --source SOURCE --base BASE [--tables NAME ...]
+    python -m patronage ingest --source SOURCE --base BASE [--tables NAME ...] [--run RUN]
+    python -m patronage ingest-catalog --database NAME --base BASE [--catalog CATALOG]
     python -m patronage ingest-jdbc --url URL --database NAME --base BASE [--tables NAME ...]
     python -m patronage customer-360 --base BASE --out PATH [--clean]
     python -m patronage customer-analytics --base BASE (--out PATH | --out-table NAME) --returns-mode MODE
-    python -m patronage features --table PATH --out PATH [--scratch FOLDER]
+    python -m patronage features --table PATH-OR-NAME --out PATH [--scratch FOLDER]
 """
 
 from __future__ import annotations
@@ -19,12 +20,13 @@ from patronage.operators.lookups import BROADCAST_BUDGET
 from patronage.plans.customer_360 import customer_360, customer_360_clean
 from patronage.plans.customer_analytics import customer_analytics
 from patronage.plans.feature_step import feature_step
-from patronage.plans.ingest import ingest_jdbc, ingest_parquet
+from patronage.plans.ingest import ingest_catalog, ingest_jdbc, ingest_parquet
 from patronage.plans.star import DIMENSIONS, FACTS, star_from_parquet
 from patronage.session import file_system, run_folder
-from patronage.sources.feature_table import save_features, write_features
+from patronage.sources.catalog import CatalogDatabase
+from patronage.sources.feature_table import save_features, stored_features, write_features
 from patronage.sources.jdbc import JdbcDatabase
-from patronage.sources.parquet import table_path
+from patronage.sources.parquet import data_path
 
 SHUFFLED_PER_TASK = 128 * 1024 * 1024
 
@@ -45,10 +47,14 @@ def _parser() -> argparse.ArgumentParser:
     fetch.add_argument("--hash", nargs="*", default=[], metavar="TABLE", help="split by hash")
     fetch.add_argument("--reads", type=int, help="reads per table; default: cores")
     fetch.add_argument("--type-policy", choices=("source", "widen"), default="source")
-    for ingest in (copy, fetch):
+    listed = jobs.add_parser("ingest-catalog", help="copy the tables of a Spark catalog")
+    listed.add_argument("--database", required=True)
+    listed.add_argument("--catalog", help="default: the session's")
+    for ingest in (copy, fetch, listed):
         ingest.add_argument("--base", required=True, help="folder or bucket to write to")
         ingest.add_argument("--tables", nargs="+", help="default: all")
         ingest.add_argument("--at-once", type=int, default=1, help="tables copied at a time")
+        ingest.add_argument("--run", help="name of the run: called again with it, copy only what is missing")
 
     profile = jobs.add_parser("customer-360", help="one row per customer")
     profile.add_argument("--clean", action="store_true", help="complete rows, no personal data")
@@ -65,7 +71,7 @@ def _parser() -> argparse.ArgumentParser:
             "--broadcast-budget", type=int, default=BROADCAST_BUDGET, help="bytes of a dimension"
         )
     features = jobs.add_parser("features", help="scale and encode a feature table")
-    features.add_argument("--table", required=True, help="stored customer analytics")
+    features.add_argument("--table", required=True, help="stored customer analytics: a path, or the name of a catalog table")
     features.add_argument("--scratch", help="shared folder; default: spark.checkpoint.dir")
     profile.add_argument("--out", required=True, help="where to write the result")
     features.add_argument("--out", required=True, help="where to write the result")
@@ -92,7 +98,10 @@ def set_shuffle_width(spark: SparkSession, inputs: Sequence[str]) -> None:
 
 def _manifest(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     if args.job == "ingest":
-        return ingest_parquet(spark, args.source, args.base, args.tables, args.at_once)
+        return ingest_parquet(spark, args.source, args.base, args.tables, args.at_once, args.run)
+    if args.job == "ingest-catalog":
+        database = CatalogDatabase(spark, args.database, args.catalog)
+        return ingest_catalog(database, args.base, args.tables, args.at_once, args.run)
     properties = {"user": args.user, "driver": args.driver}
     if args.password_variable:
         properties["password"] = os.environ[args.password_variable]
@@ -100,18 +109,19 @@ def _manifest(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     database = JdbcDatabase(spark, args.url, args.database, given)
     keys = {table: names.split(",") for table, names in (pair.split("=", 1) for pair in args.keys)}
     return ingest_jdbc(
-        database, args.base, args.tables, keys, args.type_policy, args.at_once, args.reads, args.hash
+        database, args.base, args.tables, keys, args.type_policy, args.at_once, args.reads, args.hash, args.run
     )
 
 
 def _write(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.job == "features":
-        set_shuffle_width(spark, [args.table])
+        rows = stored_features(spark, args.table)
+        set_shuffle_width(spark, sorted({file.rsplit("/", 1)[0] for file in rows.inputFiles()}))
         with run_folder(spark, args.scratch) as scratch:
-            result = feature_step(spark.read.parquet(args.table), scratch)
+            result = feature_step(rows, scratch)
             result.write.mode("overwrite").parquet(args.out)
         return
-    set_shuffle_width(spark, [table_path(args.base, name) for name in (*DIMENSIONS, *FACTS)])
+    set_shuffle_width(spark, [data_path(spark, args.base, name) for name in (*DIMENSIONS, *FACTS)])
     star = star_from_parquet(spark, args.base, args.broadcast_budget)
     if args.job == "customer-360":
         result = customer_360_clean(star) if args.clean else customer_360(star)

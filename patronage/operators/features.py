@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,6 +20,11 @@ def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
     ]
 
 
+def _moments(name: str) -> tuple[Column, Column]:
+    value = F.col(name).cast("double")
+    return F.avg(value), F.stddev_pop(value)
+
+
 def scaler_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, mean, std) with the population deviation; nulls are ignored.
 
@@ -27,23 +32,38 @@ def scaler_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """
     aggregates = []
     for name in columns:
-        value = F.col(name).cast("double")
-        stats = F.struct(
-            F.lit(name).alias("column"), F.avg(value).alias("mean"), F.stddev_pop(value).alias("std")
-        )
-        aggregates.append(stats.alias(name))
+        mean, std = _moments(name)
+        aggregates.append(F.struct(F.lit(name).alias("column"), mean.alias("mean"), std.alias("std")).alias(name))
     sideways = F.explode(F.array(*columns)).alias("stats")
     return df.agg(*aggregates).select(sideways).select("stats.*")
 
 
+def observed_stats(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, Callable[[], list[dict]]]:
+    """``df`` with the statistics of :func:`scaler_stats` taken while it is written, and a function
+    that gives them once it has been, so that no scan of its own is needed."""
+    if not columns:
+        return df, list
+    seen, aggregates = Observation(), []
+    for i, name in enumerate(columns):
+        mean, std = _moments(name)
+        aggregates += [mean.alias(f"mean_{i}"), std.alias(f"std_{i}")]
+
+    def stats() -> list[dict]:
+        found = seen.get
+        return [{"column": name, "mean": found[f"mean_{i}"], "std": found[f"std_{i}"]} for i, name in enumerate(columns)]
+
+    return df.observe(seen, *aggregates), stats
+
+
 def standard_scale(
-    df: DataFrame, columns: Sequence[str], stats: DataFrame | None = None
+    df: DataFrame, columns: Sequence[str], stats: DataFrame | Sequence[dict] | None = None
 ) -> DataFrame:
     """``(x - mean) / std`` as double; a constant column is only centred, nulls stay null.
 
     The statistics, one row per column, are the only thing that reaches the driver.
     """
-    rows = (scaler_stats(df, columns) if stats is None else stats).collect()
+    stats = scaler_stats(df, columns) if stats is None else stats
+    rows = stats.collect() if isinstance(stats, DataFrame) else stats
     scaled = {}
     for row in rows:
         value = F.col(row["column"]).cast("double")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 from patronage.operators.cleaning import distinct_rows, drop_columns, drop_null_in
-from patronage.operators.features import label_encode, numeric_columns, standard_scale
+from patronage.operators.features import label_encode, numeric_columns, observed_stats, standard_scale
 
 # The column roles of the feature table.
 DROPPED = ("hd_demo_sk", "ca_city", "ca_country", "ca_state")
@@ -51,12 +51,13 @@ def feature_step(
     """Scale every numeric column not in ``unscaled`` and encode the ``encoded`` ones.
 
     The cleaned rows are written once below ``scratch``, an unused folder that all executors
-    share; the statistics, the labels and the result then each read only the columns they need,
-    and none repeats the clean-up. The result reads ``scratch`` too: remove it once the result
-    has been written, as :func:`patronage.session.run_folder` does.
+    share, and the statistics are taken on that write; the labels and the result then each read only
+    the columns they need, and none repeats the clean-up. The result reads ``scratch`` too: remove it
+    once the result has been written, as :func:`patronage.session.run_folder` does.
     """
     cleaned = clean_features(features)
-    cleaned.write.parquet(f"{scratch}/clean")
+    scaled = numeric_columns(cleaned, exclude=(*unscaled, *encoded))
+    observed, stats = observed_stats(cleaned, scaled)
+    observed.write.parquet(f"{scratch}/clean")
     clean = features.sparkSession.read.schema(cleaned.schema).parquet(f"{scratch}/clean")
-    scaled = standard_scale(clean, numeric_columns(clean, exclude=(*unscaled, *encoded)))
-    return label_encode(scaled, encoded, scratch, fit_on=clean)
+    return label_encode(standard_scale(clean, scaled, stats()), encoded, scratch, fit_on=clean)

@@ -111,3 +111,18 @@ def test_many_labels_are_ranked_over_several_blocks(spark, scratch):
     for row in codes.join(known, "id").where("id % 997 = 0").collect():
         assert row["many"] == expected["many", row["word"]]
     assert codes.count() == 60_000
+
+
+def test_statistics_taken_on_a_write_equal_those_of_a_scan(spark, tmp_path):
+    rows = [(i * 0.5, i % 7, None) for i in range(100)] + [(None, 3, None)]
+    df = spark.createDataFrame(rows, "a double, b int, empty double")
+    observed, stats = features.observed_stats(df, ["a", "b", "empty"])
+    observed.write.parquet(f"{tmp_path}/t")
+    scanned = {r["column"]: (r["mean"], r["std"]) for r in features.scaler_stats(df, ["a", "b", "empty"]).collect()}
+    taken = {row["column"]: (row["mean"], row["std"]) for row in stats()}
+    assert taken["empty"] == scanned["empty"] == (None, None)
+    for name in ("a", "b"):
+        assert taken[name] == pytest.approx(scanned[name])
+    scaled = features.standard_scale(df, ["a", "b", "empty"], stats())
+    assert scaled.agg(F.sum("b")).first()[0] == pytest.approx(0, abs=1e-9)
+    assert features.observed_stats(df, [])[1]() == []

@@ -19,9 +19,13 @@ def test_jobs_from_the_command_line(spark, tmp_path, capsys):
     spark.sql(f"CREATE DATABASE mall LOCATION '{tmp_path}/mall'")
     main(["customer-analytics", "--base", base, "--out-table", "mall.features", "--returns-mode", "per_channel"])
     assert spark.table("mall.features").count() == spark.read.parquet(f"{out}/analytics").count()
-    spark.sql("DROP DATABASE mall CASCADE")
     scratch = tmp_path / "scratch"
     scratch.mkdir()
+    main(["features", "--table", "mall.features", "--out", f"{out}/named", "--scratch", str(scratch)])
+    assert len(spark.read.parquet(f"{out}/named").columns) == 29
+    main(["ingest-catalog", "--database", "mall", "--base", f"{base}-mall", "--run", "once"])
+    assert "features: " in capsys.readouterr().out
+    spark.sql("DROP DATABASE mall CASCADE")
     main(["features", "--table", f"{out}/analytics", "--out", f"{out}/features", "--scratch", str(scratch)])
     assert list(scratch.iterdir()) == []
     widths = {

@@ -9,7 +9,14 @@ from patronage import session
 from patronage.model import FEATURE_TABLE
 from patronage.plans.ingest import ingest, ingest_parquet
 from patronage.sources import parquet
-from patronage.sources.feature_table import save_features, typed_features
+from patronage.sources.feature_table import (
+    declared_features,
+    insert_features,
+    read_features,
+    save_features,
+    stored_features,
+    typed_features,
+)
 
 
 @pytest.fixture
@@ -165,14 +172,44 @@ def test_feature_table_refuses_nulls(spark):
         typed_features(rows).collect()
 
 
-def test_feature_table_in_the_catalog(spark, tmp_path):
+@pytest.fixture
+def shop(spark, tmp_path):
     spark.sql(f"CREATE DATABASE shop LOCATION '{tmp_path}/shop'")
-    save_features(features(spark), "shop.customer_features")
-    save_features(features(spark), "shop.customer_features")
-    assert spark.table("shop.customer_features").count() == 1
+    yield "shop.customer_features"
     spark.sql("DROP DATABASE shop CASCADE")
 
 
+def test_feature_table_in_the_catalog(spark, shop):
+    """Types and constraints are those of section 1.4, read back; a second save replaces the rows."""
+    save_features(features(spark), shop)
+    save_features(features(spark, has_store_sales=F.lit(0)), shop)
+    rows = stored_features(spark, shop)
+    assert rows.schema == FEATURE_TABLE == declared_features(spark, shop)
+    assert [r["has_store_sales"] for r in rows.collect()] == [0]
+    spark.sql(f"CREATE TABLE {shop}_other (a INT) USING parquet")
+    with pytest.raises(ValueError, match="not a feature table"):
+        save_features(features(spark), f"{shop}_other")
+
+
+def test_inserts_keep_the_constraints(spark, shop):
+    save_features(features(spark), shop)
+    turned = features(spark, ca_city=F.lit("Oslo")).select(*reversed(FEATURE_TABLE.names))
+    insert_features(turned, shop)  # columns go by name
+    assert sorted(str(r["ca_city"]) for r in read_features(spark, shop).collect()) == ["None", "Oslo"]
+    with pytest.raises(PySparkException, match="NOT NULL column store_transaction_count"):
+        insert_features(features(spark, store_transaction_count=F.lit(None).cast("long")), shop)
+    with pytest.raises(PySparkException, match="CANNOT_SAFELY_CAST"):
+        insert_features(features(spark, hd_dep_count=F.lit("two")), shop)
+    with pytest.raises(PySparkException, match="CAST_OVERFLOW"):
+        insert_features(features(spark, hd_dep_count=F.lit(3_000_000_000)), shop)
+    with pytest.raises(ValueError, match="columns differ"):
+        insert_features(features(spark).drop("ca_city"), shop)
+    assert read_features(spark, shop).count() == 2
+    spark.sql(f"INSERT INTO {shop} (c_customer_sk) VALUES (1)")  # past the constraints
+    with pytest.raises(PySparkException, match="NOT NULL column has_store_sales"):
+        read_features(spark, shop).collect()
+
+
 class FakeSession:
     """The two things ``shared_dir`` asks a session for."""
 

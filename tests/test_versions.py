@@ -1,0 +1,209 @@
+"""Replacing and resuming: what readers see of writes that fail, race or are repeated."""
+
+import json
+from pathlib import Path
+
+import pyarrow.parquet as pq
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from patronage.plans.ingest import ingest, ingest_catalog
+from patronage.sources import parquet, versions
+from patronage.sources.catalog import CatalogDatabase
+
+
+@pytest.fixture
+def base(tmp_path):
+    return str(tmp_path / "raw")
+
+
+def numbers(spark, count, step=1):
+    return spark.range(count).withColumn("x", F.col("id") * step)
+
+
+def broken(spark):
+    """Rows of which the last cannot be computed, so that a write has begun when it fails."""
+    late = F.when(F.col("id") < 99_999, F.col("id")).otherwise(F.raise_error(F.lit("broken off")).cast("long"))
+    return spark.range(0, 100_000, 1, 4).select("id", late.alias("x"))
+
+
+def total(spark, base):
+    return parquet.read_table(spark, base, "t").agg(F.sum("x")).first()[0]
+
+
+def test_a_write_that_fails_leaves_the_old_rows(spark, base):
+    parquet.write_table(numbers(spark, 10), base, "t")
+    with pytest.raises(PySparkException, match="broken off"):
+        parquet.write_table(broken(spark), base, "t")
+    assert total(spark, base) == 45 and parquet.list_tables(spark, base) == ["t"]
+    parquet.write_table(numbers(spark, 10, 2), base, "t")
+    assert total(spark, base) == 90
+
+
+def test_a_first_write_that_fails_makes_no_table(spark, base):
+    with pytest.raises(PySparkException, match="broken off"):
+        parquet.write_table(broken(spark), base, "t")
+    assert parquet.list_tables(spark, base) == []
+    assert parquet.table_schemas(spark, base, counted=True).collect() == []
+    parquet.write_table(numbers(spark, 3), base, "t")
+    assert dict(parquet.table_counts(spark, base).collect()) == {"t": 3}
+
+
+def test_a_reader_keeps_its_version_and_older_ones_go(spark, base, tmp_path):
+    parquet.write_table(numbers(spark, 10), base, "t")
+    reader = parquet.read_table(spark, base, "t").agg(F.sum("x"))
+    parquet.write_table(numbers(spark, 10, 2), base, "t")
+    assert reader.first()[0] == 45 and total(spark, base) == 90
+    for step in range(3, 6):
+        parquet.write_table(numbers(spark, 10, step), base, "t")
+    folder = tmp_path / "raw" / "t.parquet"
+    assert len(list((folder / "_versions").iterdir())) == 2 and total(spark, base) == 225
+    assert versions.commits(spark, str(folder)) == [4, 5]
+
+
+def test_of_two_writers_of_a_version_the_second_is_told(spark, base):
+    parquet.write_table(numbers(spark, 10), base, "t")
+    table = parquet.table_path(base, "t")
+    made = versions.current(spark, table)
+    with pytest.raises(versions.ConcurrentWrite, match="another writer"):
+        versions.commit(spark, table, made)
+    assert versions.current(spark, table) == made and total(spark, base) == 45
+
+
+def test_a_commit_says_what_it_holds(spark, base, tmp_path):
+    parquet.write_table(numbers(spark, 10), base, "t", run="monday")
+    stated = json.loads((tmp_path / "raw" / "t.parquet" / "_commits" / "000000000001.json").read_text())
+    assert (stated["number"], stated["rows"], stated["run"]) == (1, 10, "monday")
+    assert [field["name"] for field in json.loads(stated["schema"])["fields"]] == ["id", "x"]
+
+
+@pytest.mark.parametrize("single", [False, True])
+def test_a_plain_table_is_read_and_replaced(spark, base, single):
+    """Folders of files and single files, as other tools write them."""
+    path = parquet.table_path(base, "t")
+    if single:
+        Path(base).mkdir()
+        numbers(spark, 10).toPandas().to_parquet(path)
+    else:
+        numbers(spark, 10).write.parquet(path)
+    assert total(spark, base) == 45
+    with pytest.raises(PySparkException):
+        parquet.write_table(broken(spark), base, "t")
+    assert total(spark, base) == 45 and parquet.list_tables(spark, base) == ["t"]
+    parquet.write_table(numbers(spark, 10, 2), base, "t")
+    assert total(spark, base) == 90 and parquet.list_tables(spark, base) == ["t"]
+    parquet.write_table(numbers(spark, 10, 3), base, "t")
+    assert total(spark, base) == 135
+
+
+def test_a_second_run_copies_only_the_rest(spark, base):
+    asked = []
+
+    def read(name, works=False):
+        asked.append(name)
+        return broken(spark) if name == "b" and not works else numbers(spark, 5)
+
+    with pytest.raises(PySparkException, match="broken off"):
+        ingest(spark, read, ["a", "b", "c"], base, run="first")
+    assert parquet.list_tables(spark, base) == ["a"]
+    asked.clear()
+    manifest = ingest(spark, lambda name: read(name, True), ["a", "b", "c"], base, at_once=2, run="first")
+    assert sorted(asked) == ["b", "c"]
+    assert sorted((r.table_name, r.row_count, r.column_count) for r in manifest.collect()) == [(n, 5, 2) for n in "abc"]
+    asked.clear()
+    ingest(spark, lambda name: read(name, True), ["a", "b", "c"], base, run="second")
+    ingest(spark, lambda name: read(name, True), ["a"], base)
+    assert sorted(asked) == ["a", "a", "b", "c"]
+
+
+# Values that do not fit
+
+
+def test_all_columns_with_values_that_do_not_fit_are_named_at_once(spark, base):
+    parquet.write_table(numbers(spark, 10), base, "t")
+    rows = [(i, "x" if i % 10 == 0 else str(i), 1e9 if i % 4 == 0 else 1.5, None if i == 3 else "2020-13-01" if i == 5 else "2020-01-02") for i in range(100)]
+    df = spark.createDataFrame(rows, "id long, n string, amount double, day string")
+    declared = [("id", "bigint"), ("n", "int"), ("amount", "decimal(7,2)"), ("day", "date")]
+    with pytest.raises(parquet.CastFaults, match="10 of n, 25 of amount, 1 of day") as raised:
+        parquet.write_table(parquet.located_cast(df, declared), base, "t", fault_keys=["id"])
+    assert raised.value.counts == {"n": 10, "amount": 25, "day": 1}
+    side = {r.id: r.faults for r in spark.read.parquet(raised.value.path).collect()}
+    assert side[0] == {"n": "x", "amount": "1.0E9"} and side[5] == {"day": "2020-13-01"} and side[4] == {"amount": "1.0E9"}
+    assert set(side) == {i for i in range(100) if i % 10 == 0 or i % 4 == 0 or i == 5}
+    assert total(spark, base) == 45  # nothing was committed
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_located_casts_equal_plain_ones_where_all_fits(spark, base, ansi):
+    df = spark.createDataFrame([(1, "7", None, 2.345), (2, None, "2020-01-02", 1.0)], "id int, n string, day string, amount double")
+    declared = [("amount", "decimal(7,2)"), ("id", "int"), ("n", "year"), ("day", "date")]
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        located = parquet.located_cast(df, declared)
+        parquet.write_table(located, base, "t")
+        stored = parquet.read_table(spark, base, "t")
+        plain = parquet.typed_cast(df, declared)
+        assert stored.dtypes == plain.dtypes
+        assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, plain.collect()))
+        bad = parquet.located_cast(df.withColumn("n", F.lit("seven")), declared)
+        with pytest.raises(parquet.CastFaults, match="2 of n"):
+            parquet.write_table(bad, base, "t")
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
+# Even files
+
+
+def test_clustered_files_are_even_and_filters_read_few(spark, base, tmp_path):
+    # Half of all rows share one day, and the input's partitions are as uneven as can be.
+    day = F.when(F.col("id") % 2 == 0, F.lit(1000)).otherwise(F.col("id") % 997)
+    rows = spark.range(0, 200_000, 1, 1).select(day.alias("day"), "id", F.sha2(F.col("id").cast("string"), 256).alias("text"))
+    parquet.write_table(rows.union(rows.limit(0)), base, "t", cluster_by=["day"], files=10)
+    files = sorted((tmp_path / "raw" / "t.parquet" / "_versions").glob("*/part-*.parquet"))
+    sizes = [file.stat().st_size for file in files]
+    assert len(files) == 10 and max(sizes) < 2 * min(sizes)
+    groups = [pq.ParquetFile(file).metadata.row_group(g).column(0).statistics for file in files for g in range(pq.ParquetFile(file).num_row_groups)]
+    assert sum(s.min <= 300 <= s.max for s in groups) <= 2 < len(groups)
+    stored = parquet.read_table(spark, base, "t")
+    assert stored.where("day = 300").count() == rows.where("day = 300").count() and stored.count() == 200_000
+
+
+# Tables of a catalog
+
+
+def test_tables_of_a_catalog(spark, base, tmp_path):
+    spark.sql(f"CREATE DATABASE depot LOCATION '{tmp_path}/depot'")
+    depot = CatalogDatabase(spark, "depot", "spark_catalog")
+    try:
+        assert depot.list_tables() == [] and depot.table_schemas(counted=True).collect() == []
+        assert depot.table_counts().collect() == [] and ingest_catalog(depot, base).collect() == []
+        spark.sql("CREATE TABLE depot.crates (id BIGINT, label STRING) USING parquet")
+        spark.sql("INSERT INTO depot.crates VALUES (1, 'a'), (2, 'b')")
+        spark.sql("CREATE TABLE depot.odd_name USING parquet AS SELECT 1 AS one")
+        spark.sql("CREATE VIEW depot.light AS SELECT id FROM depot.crates WHERE id = 1")
+        spark.range(3).createOrReplaceTempView("not_in_it")
+        assert depot.list_tables() == ["crates", "light", "odd_name"]
+        assert depot.declared_schema("crates") == [("id", "bigint"), ("label", "string")]
+        assert sorted(map(tuple, depot.table_schemas(counted=True).collect())) == [
+            ("crates", 1, "id", "bigint", 2),
+            ("crates", 2, "label", "string", 2),
+            ("light", 1, "id", "bigint", 1),
+            ("odd_name", 1, "one", "int", 1),
+        ]
+        manifest = ingest_catalog(depot, base, at_once=2)
+        assert {r.table_name: r.row_count for r in manifest.collect()} == {"crates": 2, "light": 1, "odd_name": 1}
+        assert parquet.read_table(spark, base, "odd_name").collect()[0].one == 1
+        with pytest.raises(ValueError, match="no such tables"):
+            ingest_catalog(depot, base, ["not_in_it"])
+    finally:
+        spark.sql("DROP DATABASE depot CASCADE")
+    with pytest.raises(PySparkException, match="SCHEMA_NOT_FOUND"):
+        depot.list_tables()
+
+
+def test_an_empty_base_has_no_tables(spark, tmp_path):
+    (tmp_path / "raw").mkdir()
+    for rows in (parquet.table_counts(spark, str(tmp_path / "raw")), parquet.table_schemas(spark, str(tmp_path / "raw"), counted=True)):
+        assert rows.collect() == [] and rows.columns[0] == "table_name"
