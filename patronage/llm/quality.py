@@ -125,64 +125,128 @@ class Field:
 
 @dataclass(frozen=True)
 class Training:
-    """Parameters of a fit. `max_rows` bounds the labelled documents (those least in a hash of their id) and `max_lines` the lines of each that
-    serve for training; scoring takes every line of every text."""
+    """Parameters of a fit. `max_rows` bounds the labelled documents, those least in a hash of their id; all lines of these serve."""
 
     max_rows: int = 3000
-    max_lines: int = 100
-    #: Documents whose lines follow each other in a training sequence, so that labels change within it.
-    together: int = 4
-    rounds: int = 150
+    #: Lines of a training sequence; a longer text is several, whose share counts as one.
+    piece: int = 32
+    #: Share of words in boilerplate that a good document has at most, and a bad one at least.
+    most_in_good: float = 0.05
+    least_in_bad: float = 0.8
+    #: Times that the hidden labels are estimated anew, and steps of a fit.
+    passes: int = 3
+    rounds: int = 60
     step: float = 0.1
     ridge: float = 1e-3
     #: Share of words in content from which a document is kept.
     least_content: float = 0.5
 
 
+class _Lines:
+    """Sequences of lines, longest first, padded: features, which places are real, and the document and the words of each."""
+
+    def __init__(self, documents: list[tuple[np.ndarray, np.ndarray]], piece: int):
+        cut = [(d, i, min(piece, len(features) - i)) for d, (features, _) in enumerate(documents) for i in range(0, len(features), piece)]
+        cut.sort(key=lambda part: -part[2])
+        longest = cut[0][2] if cut else 0
+        self.shape = (len(cut), longest)
+        #: Sequences that reach each place.
+        self.reach = [sum(n > t for _, _, n in cut) for t in range(longest)]
+        self.x, self.real, self.words = np.zeros((*self.shape, len(FEATURES))), np.zeros(self.shape, bool), np.zeros(self.shape)
+        self.of = np.zeros(self.shape, int) + np.array([d for d, _, _ in cut], int)[:, None]
+        self.cut = cut
+        for at, (d, i, n) in enumerate(cut):
+            features, words = documents[d]
+            self.x[at, :n], self.real[at, :n], self.words[at, :n] = features[i : i + n], True, words[i : i + n]
+
+    def sums(self, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Forward-backward: chance of each label of each line, and sums of the chances of neighbouring labels."""
+        size = len(FEATURES)
+        emission, transition = weights[: size * 2].reshape(size, 2), weights[size * 2 :].reshape(2, 2)
+        score = self.x @ emission
+        alpha, beta, total = np.zeros_like(score), np.zeros_like(score), np.zeros(self.shape[0])
+        alpha[:, 0] = score[:, 0]
+        for t, n in enumerate(self.reach):
+            if t:
+                before = alpha[:n, t - 1]
+                alpha[:n, t] = np.logaddexp(before[:, :1] + transition[0], before[:, 1:] + transition[1]) + score[:n, t]
+            total[:n] = np.logaddexp(alpha[:n, t, 0], alpha[:n, t, 1])
+        for t in range(self.shape[1] - 2, -1, -1):
+            n = self.reach[t + 1]
+            ahead = score[:n, t + 1] + beta[:n, t + 1]
+            beta[:n, t] = np.logaddexp(transition[:, 0] + ahead[:, :1], transition[:, 1] + ahead[:, 1:])
+        single = np.exp(np.minimum(alpha + beta - total[:, None, None], 0)) * self.real[..., None]
+        joint = alpha[:, :-1, :, None] + transition + (score + beta)[:, 1:, None, :] - total[:, None, None, None]
+        return single, (np.exp(np.minimum(joint, 0)) * self.real[:, 1:, None, None]).sum((0, 1))
+
+    def fit(self, boilerplate: np.ndarray, how: Training, chained: bool = True, start: np.ndarray | None = None) -> np.ndarray:
+        """Weights under which the given chances of boilerplate, line by line, are likeliest, by Adam steps; without `chained` lines stand alone."""
+        size, lines = len(FEATURES), max(1, self.real.sum())
+        truth = np.stack([1 - boilerplate, boilerplate], 2) * self.real[..., None]
+        pairs = np.einsum("sta,stb->ab", truth[:, :-1], truth[:, 1:])
+        weights = np.zeros(size * 2 + 4) if start is None else start
+        mean, square = np.zeros_like(weights), np.zeros_like(weights)
+        for turn in range(1, how.rounds + 1):
+            single, joint = self.sums(weights)
+            slope = np.concatenate([np.einsum("stf,sta->fa", self.x, truth - single).ravel(), (pairs - joint).ravel() * chained]) / lines - how.ridge * weights
+            mean, square = 0.9 * mean + 0.1 * slope, 0.999 * square + 0.001 * slope**2
+            weights = weights + how.step * (mean / (1 - 0.9**turn)) / (np.sqrt(square / (1 - 0.999**turn)) + 1e-8)
+        return weights
+
+    def within(self, chance: np.ndarray, bad: np.ndarray, how: Training) -> np.ndarray:
+        """Chances of boilerplate, those of each document moved by one step of log-odds, the least that brings its share of words where its label
+        wants it: a good document at most `most_in_good`, a bad one at least `least_in_bad`."""
+        odds = np.log(np.clip(chance, 1e-6, 1 - 1e-6)) - np.log(np.clip(1 - chance, 1e-6, 1 - 1e-6))
+        documents = len(bad)
+        total = np.maximum(np.bincount(self.of[self.real], self.words[self.real], documents), 1)
+        share = lambda move: np.bincount(self.of[self.real], (self.words / (1 + np.exp(-(odds + move[self.of]))))[self.real], documents) / total
+        wanted = np.where(bad, how.least_in_bad, how.most_in_good)
+        low, high = np.where(bad, 0.0, -30.0), np.where(bad, 30.0, 0.0)
+        for _ in range(30):
+            middle = (low + high) / 2
+            more = share(middle) < wanted
+            low, high = np.where(more, middle, low), np.where(more, high, middle)
+        fine = np.where(bad, share(np.zeros(documents)) >= wanted, share(np.zeros(documents)) <= wanted)
+        return 1 / (1 + np.exp(-(odds + np.where(fine, 0.0, np.where(bad, high, low))[self.of])))
+
+
 def fit(sequences: list[tuple[np.ndarray, np.ndarray]], how: Training | None = None) -> Field:
-    """Maximises the conditional likelihood of line labels by forward-backward sums over all sequences at once, with Adam steps.
+    """The field under which the given line labels (or chances of boilerplate) are likeliest. Without sequences, or with one label only, all lines are content."""
+    how = how or Training()
+    size = len(FEATURES)
+    if len({float(label) for _, labels in sequences for label in np.unique(labels)}) < 2:
+        return Field(np.stack([np.eye(size)[0], np.zeros(size)], 1), np.zeros((2, 2)))
+    lines = _Lines([(x, np.ones(len(x))) for x, _ in sequences], max(len(x) for x, _ in sequences))
+    given = np.zeros(lines.shape)
+    for at, (d, _, n) in enumerate(lines.cut):
+        given[at, :n] = sequences[d][1]
+    weights = lines.fit(given, how)
+    return Field(weights[: size * 2].reshape(size, 2), weights[size * 2 :].reshape(2, 2))
+
 
-    Without sequences, or with one label only, all lines are content.
+def learn(documents: list[tuple[np.ndarray, np.ndarray]], bad: np.ndarray, how: Training | None = None) -> Field:
+    """Learns line labels that are hidden, from documents (features and words of their lines) labelled good or bad as a whole.
+
+    At first each line stands alone, and is judged by what distinguishes lines of bad documents from those of good ones. From then on the chances of
+    the labels come from the field's own forward-backward sums. Each time they are moved, document by document, no further than its label
+    demands: a good document may have some boilerplate, a bad one much content, and labels change where lines do.
     """
     how = how or Training()
     size = len(FEATURES)
-    seen = {int(label) for _, labels in sequences for label in np.unique(labels)}
-    if len(seen) < 2:
-        return Field(np.stack([np.eye(size)[0], np.zeros(size)], 1), np.zeros((2, 2)))
-    count, longest = len(sequences), max(len(labels) for _, labels in sequences)
-    x, y = np.zeros((count, longest, size)), np.zeros((count, longest), int)
-    real = np.zeros((count, longest), bool)
-    for i, (features, labels) in enumerate(sequences):
-        x[i, : len(labels)], y[i, : len(labels)], real[i, : len(labels)] = features, labels, True
-    lines = real.sum()
-    truth = np.eye(2)[y] * real[..., None]
-    pairs = np.einsum("sta,stb->ab", truth[:, :-1], truth[:, 1:])
-    weights = np.zeros(size * 2 + 4)
-    mean, square = np.zeros_like(weights), np.zeros_like(weights)
-    for turn in range(1, how.rounds + 1):
-        emission, transition = weights[: size * 2].reshape(size, 2), weights[size * 2 :].reshape(2, 2)
-        score = x @ emission
-        alpha, beta = np.empty_like(score), np.zeros_like(score)
-        alpha[:, 0] = score[:, 0]
-        for t in range(1, longest):
-            step = np.logaddexp(alpha[:, t - 1, :1] + transition[0], alpha[:, t - 1, 1:] + transition[1]) + score[:, t]
-            alpha[:, t] = np.where(real[:, t, None], step, alpha[:, t - 1])
-        total = np.logaddexp(alpha[:, -1, 0], alpha[:, -1, 1])
-        for t in range(longest - 2, -1, -1):
-            ahead = score[:, t + 1] + beta[:, t + 1]
-            step = np.logaddexp(transition[:, 0] + ahead[:, :1], transition[:, 1] + ahead[:, 1:])
-            beta[:, t] = np.where(real[:, t + 1, None], step, 0)
-        single = np.exp(alpha + beta - total[:, None, None]) * real[..., None]
-        joint = alpha[:, :-1, :, None] + transition + (score + beta)[:, 1:, None, :] - total[:, None, None, None]
-        joint = (np.exp(np.minimum(joint, 0)) * real[:, 1:, None, None]).sum((0, 1))
-        slope = np.concatenate([np.einsum("stf,sta->fa", x, truth - single).ravel(), (pairs - joint).ravel()]) / lines - how.ridge * weights
-        mean, square = 0.9 * mean + 0.1 * slope, 0.999 * square + 0.001 * slope**2
-        weights = weights + how.step * (mean / (1 - 0.9**turn)) / (np.sqrt(square / (1 - 0.999**turn)) + 1e-8)
+    kept = [i for i, (features, _) in enumerate(documents) if len(features)]
+    documents, bad = [documents[i] for i in kept], np.asarray(bad, bool)[kept]
+    if not len(bad) or bad.all() or not bad.any():
+        return fit([])
+    lines = _Lines(documents, how.piece)
+    weights = lines.fit(bad[lines.of].astype(float), how, chained=False)
+    for _ in range(how.passes):
+        chance = lines.sums(weights)[0][..., 1]
+        weights = lines.fit(lines.within(chance, bad, how), how, start=weights)
     return Field(weights[: size * 2].reshape(size, 2), weights[size * 2 :].reshape(2, 2))
 
 
 def train(docs: DataFrame, labels: DataFrame, how: Training | None = None) -> Field:
-    """Fits on labelled documents (quality 1 or 0): lines of a document of quality 0 count as boilerplate, others as content.
+    """Learns from labelled documents (quality 1 or 0) what lines of content and of boilerplate look like.
 
     Null labels and null ids are left out; an id labelled twice has the lower quality; of texts that share an id the greatest is taken. Only the
     features of the sample's lines reach the driver.
@@ -195,21 +259,17 @@ def train(docs: DataFrame, labels: DataFrame, how: Training | None = None) -> Fi
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [measure(t).features[: how.max_lines].astype("<f8").tobytes() for t in batch["text"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "quality": batch["quality"], "features": found})
+            found = [measure(t) for t in batch["text"]]
+            packed = {"features": [m.features.astype("<f8").tobytes() for m in found], "words": [m.line_words.astype("<i8").tobytes() for m in found]}
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "quality": batch["quality"], **packed})
 
     kind = dict(text.dtypes)["doc_id"]
-    rows = text.mapInPandas(features, f"doc_id {kind}, quality int, features binary").withColumn("place", F.xxhash64("doc_id")).toPandas()
-    sequences = []
-    lines = [
-        (np.frombuffer(f, "<f8").reshape(-1, len(FEATURES)), int(q == 0))
-        for f, q in rows.sort_values(["place", "doc_id"])[["features", "quality"]].itertuples(index=False, name=None)
-        if f
+    rows = text.mapInPandas(features, f"doc_id {kind}, quality int, features binary, words binary").toPandas().sort_values("doc_id")
+    documents = [
+        (np.frombuffer(f, "<f8").reshape(-1, len(FEATURES)), np.frombuffer(w, "<i8"))
+        for f, w in rows[["features", "words"]].itertuples(index=False, name=None)
     ]
-    for i in range(0, len(lines), how.together):
-        group = lines[i : i + how.together]
-        sequences.append((np.concatenate([x for x, _ in group]), np.concatenate([np.full(len(x), y) for x, y in group])))
-    return fit(sequences, how)
+    return learn(documents, rows["quality"].to_numpy() == 0, how)
 
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
