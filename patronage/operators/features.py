@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from patronage.operators.lookups import BROADCAST_BUDGET, fits_broadcast, lookup_join
+from patronage.operators.lookups import BROADCAST_BUDGET, lookup_join, row_bytes
 
 
 def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
@@ -85,41 +86,55 @@ def label_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def rank_labels(pairs: DataFrame, scratch: str) -> DataFrame:
-    """(column, value, code) with codes counting from 0 in value order within each column.
+@dataclass(frozen=True)
+class Ranked:
+    """(column, value, code) of labels, and for each column how many there are and what they take in memory."""
 
-    For any number of labels: the distinct pairs are written once, then range-partitioned and
-    written again, so that partition borders cannot move; a value's code is its rank inside its
-    partition plus the label counts of the partitions before. NaN ranks after all numbers.
-    ``scratch`` is an unused folder for these tables; the result reads it.
+    codes: DataFrame
+    counts: dict[str, int]
+    sizes: dict[str, int]
+
+
+#: Rows below this number of a partition keep their place in it in the lower bits of a row number.
+_PLACES = 33
+
+
+def rank_labels(pairs: DataFrame, scratch: str) -> Ranked:
+    """Codes count from 0 in value order within each column, for any number of labels.
+
+    The distinct pairs are written once, so that the borders of their range partitions cannot move,
+    and again in these, sorted, with their row numbers. A code is a row's place in its partition, less
+    that of the column's first row there, plus the column's rows in the partitions before: one job
+    counts these, one row per column and partition. NaN ranks after all numbers. ``scratch`` is an
+    unused folder for these tables; the result reads it.
     """
     spark = pairs.sparkSession
     pairs.write.parquet(f"{scratch}/pairs")
-    (
-        spark.read.schema(pairs.schema)
-        .parquet(f"{scratch}/pairs")
-        .repartitionByRange("column", "value")
-        .withColumn("block", F.spark_partition_id())
-        .write.parquet(f"{scratch}/placed")
-    )
-    placed = spark.read.parquet(f"{scratch}/placed")
-    in_block = Window.partitionBy("column", "block").orderBy("value")
-    before = Window.partitionBy("column").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        placed.groupBy("column", "block")
-        .agg(F.count(F.lit(1)).alias("labels"))
-        .select("column", "block", F.coalesce(F.sum("labels").over(before), F.lit(0)).alias("offset"))
+    written = spark.read.schema(pairs.schema).parquet(f"{scratch}/pairs")
+    ordered = written.repartitionByRange("column", "value").sortWithinPartitions("column", "value")
+    ordered.withColumn("number", F.monotonically_increasing_id()).write.parquet(f"{scratch}/placed")
+    placed = spark.read.schema(pairs.schema.add("number", "long")).parquet(f"{scratch}/placed")
+    placed = placed.withColumn("block", F.shiftright("number", _PLACES))
+    held = placed.groupBy("column", "block").agg(
+        F.min("number").alias("first"), F.count(F.lit(1)).alias("labels"), F.sum(row_bytes(pairs)).alias("bytes")
     )
-    ranked = placed.withColumn("rank", F.row_number().over(in_block) - 1)
-    code = (F.col("rank") + F.col("offset")).cast("int").alias("code")
-    codes = ranked.join(offsets, ["column", "block"]).select("column", "value", code)
-    codes.write.parquet(f"{scratch}/codes")
-    return spark.read.schema(codes.schema).parquet(f"{scratch}/codes")
+    counts: dict[str, int] = {}
+    sizes: dict[str, int] = {}
+    offsets = []
+    for row in sorted(held.collect(), key=lambda row: (row["column"], row["block"])):
+        name = row["column"]
+        offsets.append((name, row["block"], row["first"] - counts.get(name, 0)))
+        counts[name] = counts.get(name, 0) + row["labels"]
+        sizes[name] = sizes.get(name, 0) + row["bytes"]
+    starts = spark.createDataFrame(offsets, "column string, block long, start long")
+    code = (F.col("number") - F.col("start")).cast("int").alias("code")
+    codes = placed.join(F.broadcast(starts), ["column", "block"]).select("column", "value", code)
+    return Ranked(codes, counts, sizes)
 
 
 def label_map(df: DataFrame, columns: Sequence[str], scratch: str) -> DataFrame:
     """(column, value, code) of columns of one type, codes as in :func:`label_encode`."""
-    return rank_labels(label_pairs(df, columns), scratch)
+    return rank_labels(label_pairs(df, columns), scratch).codes
 
 
 def label_encode(
@@ -142,29 +157,26 @@ def label_encode(
         by_type.setdefault(df.schema[name].dataType, []).append(name)
     encoded = df
     for number, names in enumerate(by_type.values()):
-        codes = label_map(df if fit_on is None else fit_on, names, f"{scratch}/labels{number}")
-        encoded = _encode_by_join(encoded, names, codes, budget)
+        ranked = rank_labels(label_pairs(df if fit_on is None else fit_on, names), f"{scratch}/labels{number}")
+        encoded = _encode_by_join(encoded, names, ranked, budget)
     return encoded.select(df.columns)
 
 
-def _encode_by_join(
-    df: DataFrame, names: Sequence[str], codes: DataFrame, budget: int
-) -> DataFrame:
-    counts = dict(codes.groupBy("column").agg(F.count(F.lit(1))).collect())
+def _encode_by_join(df: DataFrame, names: Sequence[str], ranked: Ranked, budget: int) -> DataFrame:
+    codes = ranked.codes
     maps = {
         name: codes.where(F.col("column") == name).select(
             F.col("value").alias(f"{name}_label"), F.col("code").alias(f"{name}_label_code")
         )
         for name in names
     }
-    fits = fits_broadcast(maps, budget)
     for name in names:
         label, code = f"{name}_label", f"{name}_label_code"
-        joined = lookup_join(df, maps[name], name, label, "left", fits[name])
+        joined = lookup_join(df, maps[name], name, label, "left", ranked.sizes.get(name, 0) <= budget)
         value = F.col(name)
         unseen = F.concat(F.lit(f"unseen label in {name}: "), value.cast("string"))
         found = (
-            F.when(value.isNull(), F.lit(counts.get(name, 0)))
+            F.when(value.isNull(), F.lit(ranked.counts.get(name, 0)))
             .when(F.col(code).isNotNull(), F.col(code))
             .otherwise(F.raise_error(unseen).cast("int"))
         )

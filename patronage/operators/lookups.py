@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,16 +21,19 @@ _ROW_OVERHEAD = 32
 _FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
+def row_bytes(frame: DataFrame) -> Column:
+    """In-memory size of a row of the frame."""
+    width = F.lit(_ROW_OVERHEAD + 16 * len(frame.columns)).cast("long")
+    for field in frame.schema.fields:
+        if not isinstance(field.dataType, _FIXED_WIDTH):
+            length = F.octet_length(F.col(field.name).cast("string"))
+            width = width + F.coalesce(length, F.lit(0))
+    return width
+
+
 def measured_bytes(frames: Mapping[str, DataFrame]) -> dict[str, int]:
     """In-memory size of each frame, from one job that returns one number per frame."""
-    widths = []
-    for name, frame in frames.items():
-        width = F.lit(_ROW_OVERHEAD + 16 * len(frame.columns)).cast("long")
-        for field in frame.schema.fields:
-            if not isinstance(field.dataType, _FIXED_WIDTH):
-                length = F.octet_length(F.col(field.name).cast("string"))
-                width = width + F.coalesce(length, F.lit(0))
-        widths.append(frame.select(F.lit(name).alias("name"), width.alias("width")))
+    widths = [frame.select(F.lit(name).alias("name"), row_bytes(frame).alias("width")) for name, frame in frames.items()]
     total = reduce(DataFrame.unionByName, widths).groupBy("name").agg(F.sum("width"))
     return {**dict.fromkeys(frames, 0), **dict(total.collect())}
 
