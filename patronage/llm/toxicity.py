@@ -24,7 +24,7 @@ TERM = re.compile(r"[^\W\d_]+")
 #: Lengths of the beginnings that are terms of their own, so that inflected and compound forms of a stem share some.
 STEMS = range(3, 8)
 #: Words that a worker remembers, in each of two generations.
-REMEMBERED = 1 << 18
+REMEMBERED = 1 << 16
 
 
 def hashes(word: str) -> list[int]:
