@@ -337,7 +337,7 @@ def encode_documents(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_i
 
 
 def count_tokens(docs: DataFrame, path: str) -> DataFrame:
-    """`n_tokens` of every whole text, nothing else."""
+    """`n_tokens` of every whole text, nothing else: one row for each row, repeated ones too, 0 for null and empty texts, none without rows."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode = encoder(path).encode

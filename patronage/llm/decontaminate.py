@@ -21,6 +21,10 @@ PUNCTUATION = b".,;:!?\"()[]"
 MATCH, MISMATCH, GAP = 2, -1, -1
 
 
+#: An odd number of mixed bits, for keys.
+SPREAD = np.uint64(0x9E3779B97F4A7C15)
+
+
 @dataclass(frozen=True)
 class Settings:
     """Of each `window` n-grams in a row the rarest that any document holds is a seed, so any `ngram` + `window` - 1 unedited words of an item hold
@@ -44,11 +48,12 @@ def words_of(text: str | None) -> list[bytes]:
 @dataclass(frozen=True)
 class Block:
     """Pieces of items as word numbers, and their n-grams: `keys` sorted, with the places (piece, position) of key i at
-    `places[starts[i]:starts[i + 1]]`. After `thinned` only seeds are left."""
+    `places[starts[i]:starts[i + 1]]`, of the lengths in `sizes`. After `thinned` only seeds are left."""
 
     vocabulary: dict[bytes, int]
     items: list
     pieces: list[np.ndarray]
+    sizes: tuple[int, ...]
     keys: np.ndarray
     starts: np.ndarray
     places: np.ndarray
@@ -60,18 +65,19 @@ class Block:
         return np.fromiter((get(w, -1) for w in words), np.int64, len(words))
 
 
-def keys_of(numbers: np.ndarray, size: int, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of the n-grams made of known words, and where they start."""
+def keys_of(numbers: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys (63 bits and a sign) of the n-grams made of known words, and where they start. That two n-grams share one by chance only costs an alignment."""
     n = len(numbers) - size + 1
     if n <= 0:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    keys, known = np.zeros(n, np.int64), np.ones(n, bool)
+    keys, known = np.full(n, size, np.uint64), np.ones(n, bool)
     for i in range(size):
         part = numbers[i : i + n]
         known &= part >= 0
-        keys = keys * words + part
+        keys = (keys + part.astype(np.uint64) + np.uint64(1)) * SPREAD
+        keys ^= keys >> np.uint64(29)
     at = np.flatnonzero(known)
-    return keys[at], at
+    return keys[at].view(np.int64), at
 
 
 def table_of(found: list[tuple[np.ndarray, int, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -84,7 +90,7 @@ def table_of(found: list[tuple[np.ndarray, int, np.ndarray]]) -> tuple[np.ndarra
 
 
 def block_of(rows: list[tuple], how: Settings) -> Block:
-    """Items (id, text) with all their n-grams. Items of fewer words than an n-gram have none and are never found."""
+    """Items (id, text) with all their n-grams. An item of fewer words than an n-gram is one by itself; without words it has none."""
     vocabulary: dict[bytes, int] = {}
     items, pieces = [], []
     for item_id, text in rows:
@@ -94,10 +100,9 @@ def block_of(rows: list[tuple], how: Settings) -> Block:
         between = [np.concatenate([a[len(a) // 2 :], b[: -(-len(b) // 2)]]) for a, b in zip(parts, parts[1:], strict=False)]
         items.extend([item_id] * (len(parts) + len(between)))
         pieces.extend(parts + between)
-    if len(vocabulary) ** how.ngram >= 1 << 62:
-        raise ValueError("block_words is too large for keys of 63 bits")
-    found = [(*keys_of(piece, how.ngram, len(vocabulary)), p) for p, piece in enumerate(pieces)]
-    return Block(vocabulary, items, pieces, *table_of([(keys, p, at) for keys, at, p in found]))
+    found = [(*keys_of(piece, min(how.ngram, len(piece)) or 1), p) for p, piece in enumerate(pieces)]
+    sizes = tuple(sorted({min(how.ngram, len(piece)) for piece in pieces if len(piece)}))
+    return Block(vocabulary, items, pieces, sizes, *table_of([(keys, p, at) for keys, at, p in found]))
 
 
 def thinned(block: Block, frequency: np.ndarray, how: Settings) -> Block:
@@ -105,7 +110,7 @@ def thinned(block: Block, frequency: np.ndarray, how: Settings) -> Block:
     `rare` hold. What no document holds finds nothing and displaces nothing."""
     found = []
     for p, piece in enumerate(block.pieces):
-        keys, at = keys_of(piece, how.ngram, len(block.vocabulary))
+        keys, at = keys_of(piece, min(how.ngram, len(piece)) or 1)
         if not len(keys):
             continue
         held = frequency[np.searchsorted(block.keys, keys)]
@@ -121,7 +126,8 @@ def thinned(block: Block, frequency: np.ndarray, how: Settings) -> Block:
 
 def hits(block: Block, numbers: np.ndarray, how: Settings) -> tuple[np.ndarray, np.ndarray]:
     """Indexes into `block.keys` of the n-grams found, and where they start in the text."""
-    keys, at = keys_of(numbers, how.ngram, len(block.vocabulary))
+    found = [keys_of(numbers, size) for size in block.sizes]
+    keys, at = (np.concatenate([np.zeros(0, np.int64), *(pair[i] for pair in found)]) for i in (0, 1))
     index = np.minimum(np.searchsorted(block.keys, keys), max(len(block.keys) - 1, 0))
     good = block.keys[index] == keys if len(block.keys) else np.zeros(len(keys), bool)
     return index[good], at[good]
@@ -226,7 +232,8 @@ def best_score(text: Column, blocks: list[Broadcast], how: Settings) -> Column:
 def contaminations(docs: DataFrame, benchmark: DataFrame, how: Settings | None = None) -> DataFrame:
     """(doc_id, item_id, score, first_word, last_word, contaminated): one row for each row of `docs` and piece of an item that share a seed.
 
-    `score` is the best alignment's share of the points of a perfect copy; words count from 0. Null or empty texts share no seed. Repeated rows of
+    `score` is the best alignment's share of the points of a perfect copy; words count from 0, and of equally good alignments the one that ends first
+    counts. An item of one or two words is found where it stands whole. Null or empty texts share no seed. Repeated rows of
     `docs` each have their rows; items of equal text each count, whatever their ids, null included. Without items, or without documents, there
     are no rows.
     """

@@ -14,28 +14,38 @@ def length_histogram(lengths: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     return lengths.groupBy(*by, "n_tokens").agg(F.count("*").alias("n_docs"))
 
 
+ANSWERS = ("context_limit", "n_docs", "docs_longer", "tokens_longer", "docs_total", "tokens_total", "truncated_total", "quantile")
+
+
 def suffix_sums(histogram: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """For each length that occurs, as a context limit: documents and tokens, those of longer documents, and what truncation leaves.
 
-    Columns: context_limit, n_docs (of that length), docs_longer, tokens_longer (all their tokens), docs_total, tokens_total,
-    truncated_total (tokens left if every document is cut at the limit), quantile (share of documents that fit). An empty histogram gives no rows.
+    Columns: `by`, context_limit, n_docs (of that length), docs_longer, tokens_longer (all their tokens), docs_total, tokens_total,
+    truncated_total (tokens left if every document is cut at the limit), quantile (share of documents that fit). Groups are any columns but those
+    named here, or with an underscore in front; null groups stand for themselves. An empty histogram gives no rows.
     """
-    rows = histogram.withColumn("tokens", F.col("n_tokens") * F.col("n_docs")).withColumn("block", F.floor(F.col("n_tokens") / BLOCK))
-    later = Window.partitionBy(*by).orderBy(F.col("block").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    taken = [name for name in by if name.lower() in (*ANSWERS, "n_tokens") or name.startswith("_")]
+    if taken:
+        raise ValueError(f"groups cannot be named {taken}")
+    rows = histogram.withColumn("_tokens", F.col("n_tokens") * F.col("n_docs")).withColumn("_block", F.floor(F.col("n_tokens") / BLOCK))
+    later = Window.partitionBy(*by).orderBy(F.col("_block").desc()).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*by)
-    blocks = rows.groupBy(*by, "block").agg(F.sum("n_docs").alias("d"), F.sum("tokens").alias("t"))
+    blocks = rows.groupBy(*by, "_block").agg(F.sum("n_docs").alias("_d"), F.sum("_tokens").alias("_t"))
     blocks = blocks.select(
-        *by,
-        "block",
-        F.coalesce(F.sum("d").over(later), F.lit(0)).alias("docs_after"),
-        F.coalesce(F.sum("t").over(later), F.lit(0)).alias("tokens_after"),
-        F.sum("d").over(whole).alias("docs_total"),
-        F.sum("t").over(whole).alias("tokens_total"),
+        *(F.col(name).alias(f"_by_{i}") for i, name in enumerate(by)),
+        F.col("_block").alias("_of"),
+        F.coalesce(F.sum("_d").over(later), F.lit(0)).alias("_docs_after"),
+        F.coalesce(F.sum("_t").over(later), F.lit(0)).alias("_tokens_after"),
+        F.sum("_d").over(whole).alias("docs_total"),
+        F.sum("_t").over(whole).alias("tokens_total"),
     )
-    within = Window.partitionBy(*by, "block").orderBy(F.col("n_tokens").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy(*by, "_block").orderBy(F.col("n_tokens").desc()).rowsBetween(Window.unboundedPreceding, -1)
     inside = lambda name: F.coalesce(F.sum(name).over(within), F.lit(0))
-    rows = rows.withColumns({"docs_longer": inside("n_docs"), "tokens_longer": inside("tokens")}).join(blocks, [*by, "block"])
-    rows = rows.withColumns({"docs_longer": F.col("docs_longer") + F.col("docs_after"), "tokens_longer": F.col("tokens_longer") + F.col("tokens_after")})
+    same = F.col("_block") == F.col("_of")
+    for i, name in enumerate(by):
+        same &= F.col(name).eqNullSafe(F.col(f"_by_{i}"))
+    rows = rows.withColumns({"docs_longer": inside("n_docs"), "tokens_longer": inside("_tokens")}).join(blocks, same)
+    rows = rows.withColumns({"docs_longer": F.col("docs_longer") + F.col("_docs_after"), "tokens_longer": F.col("tokens_longer") + F.col("_tokens_after")})
     return rows.select(
         *by,
         F.col("n_tokens").alias("context_limit"),

@@ -140,3 +140,24 @@ def test_passage_over_a_border_of_pieces_is_found(spark, begin, inside):
     rows = run(spark, docs, [(1, " ".join(item), 0.0)])
     best = max(rows, key=lambda row: row[2])
     assert best[2] == inside / 200 and best[4] - best[3] + 1 == inside and best[5]
+
+
+def test_items_of_one_or_two_words_are_found_whole(spark):
+    docs = spark.createDataFrame([(1, "so alpha beta it is"), (2, "alpha gamma beta"), (3, "Zulu!"), (4, None), (5, "beta alpha"), (6, "one two three four")], "doc_id long, text string")
+    bench = spark.createDataFrame([(10, "Alpha beta."), (11, "zulu"), (12, "  "), (13, "one two three four")], "item_id long, text string")
+    rows = {(r.doc_id, r.item_id): (r.score, r.first_word, r.last_word, r.contaminated) for r in dc.contaminations(docs, bench).collect()}
+    assert rows == {(1, 10): (1.0, 1, 2, True), (3, 11): (1.0, 0, 0, True), (6, 13): (1.0, 0, 3, True)}
+
+
+def test_of_equally_good_alignments_the_first_counts(spark):
+    item = "red green blue white black"
+    docs = spark.createDataFrame([(1, f"{item} " + "x " * 40 + item)], "doc_id long, text string")
+    bench = spark.createDataFrame([(10, item)], "item_id long, text string")
+    assert [(r.first_word, r.last_word) for r in dc.contaminations(docs, bench).collect()] == [(0, 4)]
+
+
+def test_keys_of_any_number_of_words():
+    numbers = np.array([5, 1 << 40, 7, -1, 3, 3, 3, 1 << 40, 7])
+    keys, at = dc.keys_of(numbers, 2)
+    assert at.tolist() == [0, 1, 4, 5, 6, 7] and keys[1] == keys[5] and keys[2] == keys[3] and len(set(keys.tolist())) == 4
+    assert set(dc.keys_of(numbers, 1)[0].tolist()).isdisjoint(keys.tolist())

@@ -14,6 +14,28 @@ def slot_of(doc_id, slots=sharding.SLOTS):
     return (value - (1 << 64) if value >> 63 else value) % slots
 
 
+def owner_of(slot, shards):
+    """The shard of the largest draw, a chained 64-bit hash of slot and shard as signed number."""
+
+    def draw(shard):
+        value = xxhash.xxh64_intdigest(struct.pack("<i", shard), seed=xxhash.xxh64_intdigest(struct.pack("<i", slot), seed=42))
+        return value - (1 << 64) if value >> 63 else value
+
+    return max(range(shards), key=lambda shard: (draw(shard), shard))
+
+
+def test_query_equals_shards_computed_anew(spark):
+    """`shard` and `grown_shard` of every row from its id alone, and the places in each shard."""
+    sf_dir = "/root/testdata/sf0.01"
+    owners = {slot: (owner_of(slot, 24), owner_of(slot, 25)) for slot in range(sharding.SLOTS)}
+    assert all(grown in (shard, 24) for shard, grown in owners.values())
+    places = {}
+    for r in queries.op9_sharding(spark, sf_dir).collect():
+        assert (r.shard, r.grown_shard) == owners[slot_of(r.doc_id)]
+        places.setdefault(r.shard, set()).add(r.slot)
+    assert all(slots == set(range(len(slots))) for slots in places.values())
+
+
 def test_query_keeps_the_law(spark):
     sf_dir = "/root/testdata/sf0.01"
     texts = {r.doc_id: r.text for r in queries.table(spark, sf_dir, "documents").select("doc_id", "text").collect()}

@@ -1,6 +1,7 @@
 from collections import Counter
 
 import public_tokenizers
+import pytest
 from tokenizers import Tokenizer
 
 from patronage.llm import bpe, queries
@@ -58,3 +59,28 @@ def test_groups_null_and_empty(spark):
     counted = bpe.count_tokens(documents(spark, [None, "", "a b"]), PATH).collect()
     assert sorted(r.n_tokens for r in counted) == [0, 0, 2]
     assert bpe.count_tokens(no_documents(spark), PATH).count() == 0
+
+
+def test_groups_of_any_name_but_the_answers(spark):
+    rows = [("a", None, 3), ("a", None, 5), ("b", 1, 2000), ("b", 1, 3), (None, 2, 7)]
+    lengths = spark.createDataFrame(rows, "block string, tokens int, n_tokens long")
+    by = ("block", "tokens")
+    answers = tc.suffix_sums(tc.length_histogram(lengths, by), by).collect()
+    got = {(r.block, r.tokens, r.context_limit): (r.docs_longer, r.tokens_longer, r.docs_total, r.tokens_total) for r in answers}
+    assert got == {
+        ("a", None, 3): (1, 5, 2, 8),
+        ("a", None, 5): (0, 0, 2, 8),
+        ("b", 1, 3): (1, 2000, 2, 2003),
+        ("b", 1, 2000): (0, 0, 2, 2003),
+        (None, 2, 7): (0, 0, 1, 7),
+    }
+    for name in ("docs_total", "N_DOCS", "_block"):
+        with pytest.raises(ValueError, match="cannot be named"):
+            tc.suffix_sums(lengths.withColumnRenamed("block", name), (name,))
+
+
+def test_every_row_is_counted_null_long_and_repeated(spark):
+    docs = documents(spark, [None, "", "word", "word", "long " * 200_000])
+    counts = sorted(r.n_tokens for r in bpe.count_tokens(docs, queries.vocabulary_file(queries.BYTE_BPE)).collect())
+    assert counts[:4] == [0, 0, 1, 1] and counts[4] >= 200_000 and len(counts) == 5
+    assert bpe.count_tokens(no_documents(spark), queries.vocabulary_file(queries.BYTE_BPE)).count() == 0
