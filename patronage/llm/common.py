@@ -3,36 +3,29 @@
 from __future__ import annotations
 
 import re
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from patronage.session import file_system, shared_dir
+
 #: A word: a run of code points other than blank and the ASCII control spaces.
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 #: A-Z to a-z and nothing else.
 LOWER = {code: code + 32 for code in range(ord("A"), ord("Z") + 1)}
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder in `spark.checkpoint.dir`, which driver and executors share.
+def new_folder(spark: SparkSession, name: str) -> str:
+    """An unused folder below the one that `spark.checkpoint.dir` names and all executors share; without that setting this is an error.
 
-    Where it is unset, a session on one machine (`local[...]`) gets a temporary folder; any other session is an error, since its
-    executors could not see such a folder.
+    All folders of a session lie in one, which is removed when the session's JVM ends: results read them until then.
     """
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
-        raise ValueError("spark.checkpoint.dir is unset: name a folder that all executors share")
-    context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="patronage-llm-"))
-    return context.getCheckpointDir()
-
-
-def new_folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    own = f"{shared_dir(spark)}/patronage-llm-{spark.sparkContext.applicationId}"
+    system, path = file_system(spark, own)
+    system.mkdirs(path)
+    system.deleteOnExit(path)
+    return f"{own}/{name}-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import importlib
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +28,11 @@ from .common import new_folder, stored
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table. A session on one machine that names no shared folder, as tests may have, gets a temporary one first."""
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not named and (context.master == "local" or context.master.startswith("local[")):
+        context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="patronage-llm-"))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
