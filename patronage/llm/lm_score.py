@@ -242,12 +242,13 @@ def gathered(batches: DataFrame, cells: int) -> DataFrame:
     return stored(asked.groupBy("cell").applyInPandas(answer, schema), "answers")
 
 
-def score_documents(docs: DataFrame, targets: DataFrame, weight: float = 2.0) -> DataFrame:
+def score_documents(docs: DataFrame, targets: DataFrame, weight: float = 2.0, least_words: int = WORDS) -> DataFrame:
     """(doc_id, n_tokens, target_loss, background_loss, difference) for every row of `docs`.
 
     `targets` lists the doc_ids of the target corpus (repeats and nulls do no harm); the background is all of `docs`. Losses are nats per token, and
     `difference` is target less background: the lower, the more a text is like the target. A document is scored without its own counts. A text
-    without words has no losses (null). Without any target the target model is uniform. Repeated rows count, and are scored, each.
+    without words has no losses (null). A word never seen has the share of one of all words, of which the models count `least_words` at least, so that
+    small corpora do not make unknown words likely. Without any target the target model is uniform. Repeated rows count, and are scored, each.
     """
     batches = batches_of(docs)
     batches = batches.join(marks_of(batches, targets), "batch", "left")
@@ -255,7 +256,7 @@ def score_documents(docs: DataFrame, targets: DataFrame, weight: float = 2.0) ->
     cells = max(CELLS, -(-int(tokens) // CELL))
     answers = gathered(batches, cells)
     words, mass, target_mass = (float(x or 0) for x in answers.agg(F.sum("words"), F.sum("mass"), F.sum("target_mass")).first())
-    vocabulary, scale = max(words, WORDS), target_mass / mass if target_mass else 1.0
+    vocabulary, scale = max(words, least_words), target_mass / mass if target_mass else 1.0
 
     def score(groups: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in groups:
