@@ -162,8 +162,8 @@ def batches_of(docs: DataFrame) -> DataFrame:
 
         for batch in batches:
             begin = 0
-            for at, text in enumerate(batch.column("text").to_pylist()):
-                runs.append(tokens_of(text, numbers))
+            for at, text in enumerate(batch.column("text")):  # one string at a time
+                runs.append(tokens_of(text.as_py(), numbers))
                 held += len(runs[-1]) + EACH
                 if held >= BATCH:
                     ids.append(batch.column("doc_id").slice(begin, at + 1 - begin))
@@ -258,22 +258,19 @@ def score_documents(docs: DataFrame, targets: DataFrame, weight: float = 2.0, le
     words, mass, target_mass = (float(x or 0) for x in answers.agg(F.sum("words"), F.sum("mass"), F.sum("target_mass")).first())
     vocabulary, scale = max(words, least_words), target_mass / mass if target_mass else 1.0
 
-    def score(groups: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in groups:
-            for row in range(group.num_rows):
-                _, _, *blobs, marks, answered = (group.column(c)[row].as_py() for c in (*NAMES, "marks", "answers"))
-                batch = Batch.of(*blobs)
-                inside = marked(marks, len(batch.lengths)).astype(float)
-                parts = [a["counts"] for a in sorted(answered or [], key=lambda a: a["cell"])]
-                totals = [np.concatenate([unpacked(p) for p in part]) for part in zip(*parts, strict=True)] or [np.zeros(0)] * 4
-                models = [(*totals[2:], target_mass, 1.0, inside), (*totals[:2], mass, scale, np.ones(len(inside)))]
-                size = batch.lengths
-                own, general = (loss / np.maximum(size, 1) for loss in batch.losses(models, vocabulary, weight))
-                ids = group.column("doc_ids")[row].values
-                losses = [pa.array(x, pa.float64(), mask=size == 0) for x in (own, general, own - general)]
-                yield pa.RecordBatch.from_arrays([ids, pa.array(size, pa.int64()), *losses], ["doc_id", "n_tokens", "target_loss", "background_loss", "difference"])
+    def score(asked: pa.Table, answered: pa.Table) -> pa.Table:
+        _, _, *blobs, marks = (asked.column(c)[0].as_py() for c in (*NAMES, "marks"))
+        batch = Batch.of(*blobs)
+        inside = marked(marks, len(batch.lengths)).astype(float)
+        parts = answered.sort_by("cell").column("counts").to_pylist()
+        totals = [np.concatenate([unpacked(p) for p in part]) for part in zip(*parts, strict=True)] or [np.zeros(0)] * 4
+        models = [(*totals[2:], target_mass, 1.0, inside), (*totals[:2], mass, scale, np.ones(len(inside)))]
+        size = batch.lengths
+        own, general = (loss / np.maximum(size, 1) for loss in batch.losses(models, vocabulary, weight))
+        ids = asked.column("doc_ids")[0].values
+        losses = [pa.array(x, pa.float64(), mask=size == 0) for x in (own, general, own - general)]
+        return pa.Table.from_arrays([ids, pa.array(size, pa.int64()), *losses], ["doc_id", "n_tokens", "target_loss", "background_loss", "difference"])
 
     kind = dict(docs.dtypes)["doc_id"]
-    by_batch = answers.groupBy("batch").agg(F.collect_list(F.struct("cell", "counts")).alias("answers"))
-    known = batches.join(by_batch, "batch", "left").select(*NAMES, "marks", "answers", "doc_ids")
-    return known.mapInArrow(score, f"doc_id {kind}, n_tokens long, target_loss double, background_loss double, difference double")
+    pairs = batches.groupBy("batch").cogroup(answers.select("batch", "cell", "counts").groupBy("batch"))
+    return pairs.applyInArrow(score, f"doc_id {kind}, n_tokens long, target_loss double, background_loss double, difference double")

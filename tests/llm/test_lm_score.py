@@ -103,3 +103,15 @@ def test_every_word_and_pair_is_counted_by_itself(spark):
                     p = (scale * (pair[x[at - 1], word] - out * own[2][x[at - 1], word]) + 2 * p) / (before + 2)
                 want -= math.log(p)
             assert abs(loss - want / len(x)) < 1e-9
+
+
+def test_answers_reach_the_worker_as_rows_of_their_own(spark):
+    """No row holds all answers of a batch, which are megabytes that the JVM would copy at each step."""
+    docs = documents(spark, ["a b c", "", None, "b c d a"])
+    plan = lm.score_documents(docs, docs.limit(1))._jdf.queryExecution().toString()
+    assert "collect_list" not in plan and "FlatMapCoGroupsInArrow" in plan
+
+
+def test_batches_without_words_have_rows(spark):
+    rows = lm.score_documents(documents(spark, ["", None, "  "]), no_documents(spark)).collect()
+    assert sorted((r.doc_id, r.n_tokens, r.difference) for r in rows) == [(0, 0, None), (1, 0, None), (2, 0, None)]
