@@ -16,6 +16,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,7 +26,7 @@ PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S
 PLAIN_BYTES = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 
 #: Pieces whose ids a worker remembers, in each of two generations, and their longest length in characters.
-REMEMBERED = 1 << 17
+REMEMBERED = 1 << 16
 LONGEST_REMEMBERED = 40
 NEVER = 1 << 62
 
@@ -310,7 +311,7 @@ def encoder(path: str) -> Encoder:
     return Encoder(Vocabulary.from_file(path))
 
 
-#: Rows that a worker gives back at once.
+#: Rows whose texts a worker holds as strings, and gives back, at once.
 ROWS = 500
 
 
@@ -321,19 +322,23 @@ def encode_documents(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_i
     come: repeated rows, null ids and further columns do no harm. `path` is the vocabulary file, present on every machine, as installed
     libraries are. Nothing is shuffled.
     """
-    chosen = docs.select(*keep, F.coalesce("text", F.lit("")).alias("_text"))
-    fields = ", ".join(f"`{name}` {kind}" for name, kind in chosen.dtypes if name != "_text")
+    chosen = docs.select(*keep, *(["text"] if "text" not in keep else []))
+    kinds = dict(chosen.dtypes)
+    fields = ", ".join(f"`{name}` {kinds[name]}" for name in keep)
+    names = [*keep, "ids", "n_tokens"] + ["decoded"] * decode_too
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, texts = encoder(path).encode, token_texts(path) if decode_too else []
         for batch in batches:
-            for begin in range(0, len(batch), ROWS):
-                part = batch.iloc[begin : begin + ROWS]
-                packed = [encode(text) for text in part["_text"]]
-                out = part.drop(columns="_text").assign(ids=packed, n_tokens=[len(p) // 4 for p in packed])
-                yield out.assign(decoded=[decode(texts, p) for p in packed]) if decode_too else out
-
-    return chosen.mapInPandas(run, f"{fields}, ids binary, n_tokens long" + ", decoded string" * decode_too)
+            for begin in range(0, batch.num_rows, ROWS):
+                part = batch.slice(begin, ROWS)
+                packed = [encode(text or "") for text in part.column("text").to_pylist()]
+                out = [*map(part.column, keep), pa.array(packed, pa.binary()), pa.array([len(p) // 4 for p in packed], pa.int64())]
+                if decode_too:
+                    out.append(pa.array([decode(texts, p) for p in packed], pa.string()))
+                yield pa.RecordBatch.from_arrays(out, names)
+
+    return chosen.mapInArrow(run, f"{fields}, ids binary, n_tokens long" + ", decoded string" * decode_too)
 
 
 def count_tokens(docs: DataFrame, path: str) -> DataFrame:

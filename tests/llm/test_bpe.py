@@ -137,3 +137,12 @@ def test_nulls_repeats_and_empty_table(spark):
     assert {r.decoded for r in out} == {"", "é🙂 " * 50_000, "same"}
     assert sorted(map(tuple, bpe.encode_documents(docs, PATH, decode_too=True).collect())) == sorted(map(tuple, out))
     assert bpe.decode_documents(bpe.encode_documents(no_documents(spark), PATH), PATH).count() == 0
+
+
+def test_a_text_reaches_the_worker_once(spark):
+    """A kept text is the one that is encoded; rows stay in Arrow, so that a worker holds the strings of ROWS rows only."""
+    docs = documents(spark, ["x y", None, ""])
+    encoded = bpe.encode_documents(docs, PATH, ("doc_id", "text"), decode_too=True)
+    plan = encoded._jdf.queryExecution().executedPlan().toString()
+    assert "coalesce" not in plan and "MapInPandas" not in plan
+    assert [(r.doc_id, r.text, r.n_tokens, r.decoded) for r in encoded.orderBy("doc_id").collect()] == [(0, "x y", 2, "x y"), (1, None, 0, ""), (2, "", 0, "")]
